@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardloom.suite import relational  # noqa: F401
+from cardloom.suite import loading, relational  # noqa: F401
 from cardloom.suite.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
