@@ -20,25 +20,27 @@ DEFAULTS = {
 }
 
 
-def _field(schema: T.StructType, path: str) -> Column | None:
-    """The column at ``path`` when the schema has it."""
+def _typed_field(schema: T.StructType, path: str) -> tuple[Column, T.DataType] | None:
+    """The column at ``path`` with its type, when the schema has it."""
     node: T.DataType = schema
     for part in path.split("."):
         if not isinstance(node, T.StructType) or part not in node.names:
             return None
         node = node[part].dataType
-    return F.col(path)
+    return F.col(path), node
 
 
-def _first(df: DataFrame, *paths: str, as_type: str | None = None) -> Column:
-    """First value among the paths that is neither NULL nor ''."""
-    found = []
-    for path in paths:
-        c = _field(df.schema, path)
-        if c is not None:
-            found.append(F.nullif(c.cast("string"), F.lit("")))
-    value = F.coalesce(*found) if found else F.lit(None).cast("string")
-    return value if as_type is None else value.try_cast(as_type)
+def _first(df: DataFrame, *paths: str, read=lambda c, kind: F.nullif(c.cast("string"), F.lit(""))) -> Column:
+    """First value among the paths that ``read`` does not give as NULL."""
+    found = [read(*f) for f in (_typed_field(df.schema, p) for p in paths) if f is not None]
+    return F.coalesce(*found) if found else F.lit(None)
+
+
+def _number(as_type: str):
+    def read(c: Column, kind: T.DataType) -> Column:
+        return c.cast(as_type) if isinstance(kind, T.NumericType) else c.cast("string").try_cast(as_type)
+
+    return read
 
 
 def _or_default(value: Column, name: str) -> Column:
@@ -50,33 +52,38 @@ def _truthy(value: Column) -> Column:
     return F.nullif(value, F.lit(0).cast("double"))
 
 
-def hour_of(x: Column) -> Column:
-    """Hour written in an ISO text, 0 for a bare date, NULL when it is no date.
+def hour_of(c: Column, kind: T.DataType) -> Column:
+    """Hour of a time or of an ISO text: 0 for a bare date, 12 for other text.
 
-    The hour stands as written; an offset in the text does not move it.
+    The hour of a text stands as written; an offset in it does not move it.
     """
-    written = F.regexp_extract(x, r"^\d{4}-\d{2}-\d{2}[T ](\d{2})", 1)
-    return F.when(x.try_cast("timestamp").isNotNull(), F.coalesce(written.try_cast("int"), F.lit(0)))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.hour(c)
+    text = F.nullif(c.cast("string"), F.lit(""))
+    written = F.regexp_extract(text, r"^\d{4}-\d{2}-\d{2}[T ](\d{2})", 1).try_cast("int")
+    return F.when(text.try_cast("timestamp").isNotNull(), F.coalesce(written, F.lit(0))).when(
+        text.isNotNull(), DEFAULTS["hour"]
+    )
 
 
 def document_features(docs: DataFrame, *keep: str) -> DataFrame:
     """Features of documents with either set of field names, plus columns to keep."""
     return docs.select(
         *keep,
-        _or_default(_first(docs, "amount", as_type="double"), "amount"),
+        _or_default(_first(docs, "amount", read=_number("double")), "amount"),
         _or_default(_first(docs, "use_chip"), "use_chip"),
-        _or_default(_first(docs, "mcc.code", as_type="int"), "mcc_code"),
+        _or_default(_first(docs, "mcc.code", read=_number("int")), "mcc_code"),
         _or_default(_first(docs, "marchand.etat", "marchand.state"), "merchant_state"),
-        _or_default(hour_of(_first(docs, "date_transaction", "date")), "hour"),
-        _or_default(_truthy(_first(docs, "client.current_age", as_type="double")), "current_age"),
+        _or_default(_first(docs, "date_transaction", "date", read=hour_of), "hour"),
+        _or_default(_truthy(_first(docs, "client.current_age", read=_number("double"))), "current_age"),
         _or_default(_first(docs, "client.gender"), "gender"),
     )
 
 
 def document_label(docs: DataFrame) -> Column:
     """1 fraud, 0 no fraud, NULL when not labelled or not readable."""
-    flags = [c for c in (_field(docs.schema, f"fraude.{n}") for n in ("labelled", "is_labellisee")) if c is not None]
-    labelled = F.coalesce(*flags, F.lit(False)) if flags else F.lit(False)
+    flag = _first(docs, "fraude.labelled", "fraude.is_labellisee", read=lambda c, kind: c.cast("boolean"))
+    labelled = F.coalesce(flag, F.lit(False))
     answer = _first(docs, "fraude.is_fraud")
     code = F.when(answer.isin("true", "Yes"), 1).when(answer.isin("false", "No"), 0)
     return F.when(labelled, code).cast("int")

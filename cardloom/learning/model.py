@@ -110,13 +110,15 @@ def fit(train: DataFrame, classifier=None) -> PipelineModel:
     """Encoder and classifier fitted on the training rows, classes balanced."""
     stages = encoder(train)
     ready = balanced(PipelineModel(stages).transform(train), class_counts(train))
-    fitted = (classifier or forest()).fit(ready.select("features", "label", "weight"))
+    ready = ready.select("features", "label", "weight").persist()
+    fitted = (classifier or forest()).fit(ready)
+    ready.unpersist()
     return PipelineModel([*stages, fitted])
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, Any]:
     """ROC-AUC, precision, recall, F1 (0 when undefined), confusion matrix, counts."""
-    scored = model.transform(test).select("label", "prediction", "rawPrediction", "probability")
+    scored = model.transform(test).select("label", "prediction", "rawPrediction").persist()
     cells = {
         (r["label"], int(r["prediction"])): r["n"]
         for r in scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -125,9 +127,10 @@ def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, Any]:
     precision = tp / (tp + fp) if tp + fp else 0.0
     recall = tp / (tp + fn) if tp + fn else 0.0
     area = lambda metric: BinaryClassificationEvaluator(labelCol="label", metricName=metric).evaluate(scored)
+    areas = {"roc_auc": area("areaUnderROC"), "pr_auc": area("areaUnderPR")}
+    scored.unpersist()
     return {
-        "roc_auc": area("areaUnderROC"),
-        "pr_auc": area("areaUnderPR"),
+        **areas,
         "precision_fraud": precision,
         "recall_fraud": recall,
         "f1_fraud": 2 * precision * recall / (precision + recall) if precision + recall else 0.0,

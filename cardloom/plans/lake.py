@@ -13,7 +13,8 @@ from cardloom.sources import raw, tables
 def to_bronze(spark: SparkSession, csv_path: str, bronze: str, situation_date: Column) -> None:
     """Raw transaction rows as read, malformed ones included, by situation date."""
     rows = raw.read_csv(spark, csv_path, raw.RAW_COLUMNS["transactions"], keep_corrupt=True)
-    rows.withColumn("situation_date", situation_date).write.mode("append").partitionBy("situation_date").parquet(bronze)
+    dated = rows.withColumn("situation_date", situation_date).hint("rebalance", "situation_date")
+    dated.write.mode("append").partitionBy("situation_date").parquet(bronze)
 
 
 def bronze_report(bronze: DataFrame) -> DataFrame:

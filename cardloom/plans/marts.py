@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.operators import datamarts as d
-from cardloom.session import path_exists, scratch_path
+from cardloom.session import path_exists
 from cardloom.sources import tables
 
 # Refresh order.
@@ -129,6 +129,3 @@ def _state(spark: SparkSession, gold: str, kind: str, batch_id: str) -> DataFram
 def read(spark: SparkSession, gold: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{gold}/{name}")
 
-
-def scratch_gold(spark: SparkSession) -> str:
-    return scratch_path(spark, "gold")

@@ -53,14 +53,14 @@ def with_month(tx: DataFrame) -> DataFrame:
 
 
 def write_monthly(tx: DataFrame, path: str, append_rows: bool = True) -> None:
-    """Writes into month partitions.
+    """Writes into month partitions; with ``append_rows=False`` the months
+    present are replaced and the others stay.
 
-    Rows are sorted by month within each task, so a task holds one open file at
-    a time whatever the number of months; a month as large as a whole load (the
-    default, since the situation date is the load day) is still written by all
-    tasks. With ``append_rows=False`` only the months present are replaced.
+    The rebalance hint gathers each month's rows into few files. Where a month
+    is large (a whole load lands in one by default, since the situation date is
+    the load day) adaptive execution splits it over many tasks again.
     """
-    writer = with_month(tx).sortWithinPartitions(MONTH).write.partitionBy(MONTH)
+    writer = with_month(tx).hint("rebalance", MONTH).write.partitionBy(MONTH)
     if append_rows:
         writer.mode("append").parquet(path)
     else:

@@ -34,23 +34,28 @@ class Model(Binding):
 
     @property
     def requests(self) -> DataFrame:
-        """Score requests from the events; some break the contract."""
-        k = F.get_json_object("props", "$.k").try_cast("int")
-        number = F.col("id_transaction")
-        return self.events.select(
-            "id_transaction",
-            F.when(number % 11 == 0, -F.col("amount")).otherwise(F.col("amount")).cast("double").alias("amount"),
-            F.when(number % 4 == 0, "Swipe Transaction")
-            .when(number % 4 == 1, "Online Transaction")
-            .when(number % 4 == 2, "Chip Transaction")
-            .alias("use_chip"),
-            F.when(number % 5 != 0, k + 5000).alias("mcc_code"),
-            F.when(number % 3 == 0, F.lit("CA")).when(number % 13 == 1, "OUT OF STATE").alias("merchant_state"),
-            F.when(number % 7 != 0, F.hour("date_transaction") + F.when(number % 19 == 0, 24).otherwise(0)).alias("hour"),
-            F.when(number % 6 != 0, (k + 1).cast("double")).alias("current_age"),
-            F.when(number % 5 == 0, "Other").when(number % 2 == 0, "Female").alias("gender"),
-            (F.col("categorie") == "error").cast("int").alias("label"),
-        )
+        return requests_of(self.events)
+
+
+def requests_of(events: DataFrame, *keep: str) -> DataFrame:
+    """Score requests from the events; some break the contract."""
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    number = F.col("id_transaction")
+    late_hour = F.hour("date_transaction") + F.when(number % 19 == 0, 24).otherwise(0)
+    return events.select(
+        *keep,
+        "id_transaction",
+        F.when(number % 11 == 0, -F.col("amount")).otherwise(F.col("amount")).cast("double").alias("amount"),
+        F.when(number % 4 == 0, "Swipe Transaction")
+        .when(number % 4 == 1, "Online Transaction")
+        .when(number % 4 == 2, "Chip Transaction")
+        .alias("use_chip"),
+        F.when(number % 5 != 0, k + 5000).alias("mcc_code"),
+        F.when(number % 3 == 0, F.lit("CA")).when(number % 13 == 1, "OUT OF STATE").alias("merchant_state"),
+        F.when(number % 7 != 0, late_hour).alias("hour"),
+        F.when(number % 6 != 0, (k + 1).cast("double")).alias("current_age"),
+        F.when(number % 5 == 0, "Other").when(number % 2 == 0, "Female").alias("gender"),
+    )
 
 
 def plain(df: DataFrame) -> DataFrame:
