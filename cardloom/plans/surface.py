@@ -15,8 +15,8 @@ FUNCTIONS = (
     """CREATE OR REPLACE TEMPORARY FUNCTION fn_calc_score_risque_client(p_id_client BIGINT) RETURNS DECIMAL(5,2)
     RETURN SELECT max(score_risque) FROM v_client_risk WHERE id_client = p_id_client""",
     """CREATE OR REPLACE TEMPORARY FUNCTION fn_get_libelle_mcc(p_code_mcc INT) RETURNS STRING
-    RETURN SELECT coalesce(max(libelle_mcc), concat('MCC inconnu (', p_code_mcc, ')')) FROM mcc
-      WHERE code_mcc = p_code_mcc""",
+    RETURN coalesce((SELECT max(libelle_mcc) FROM mcc WHERE code_mcc = p_code_mcc),
+      concat('MCC inconnu (', p_code_mcc, ')'))""",
     """CREATE OR REPLACE TEMPORARY FUNCTION fn_get_user_id(p_login STRING) RETURNS INT
     RETURN SELECT coalesce(max(id_utilisateur), 0) FROM utilisateur_si WHERE upper(login) = upper(p_login)""",
     """CREATE OR REPLACE TEMPORARY FUNCTION fn_transactions_client(p_id_client BIGINT)
