@@ -29,6 +29,7 @@ HYPERPARAMETERS = {
     "class_weight": "balanced", "random_state": SEED,
 }
 HASH_BITS = 20
+SMALL_TABLE = 10_000_000
 
 
 def split(rows: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -36,30 +37,38 @@ def split(rows: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     round-down(0.8 n) hashes train.
 
     A rank over a whole label would put it into one task. The hash is cut into
-    2^20 slices; slices are counted, and only the one slice per label in which
-    the border falls is ranked. The borders are one row per label (two).
+    2^20 slices, and slices are counted; only the one slice per label in which
+    the border falls is ranked, to find the border row. Each row is then told
+    apart by comparing it with the border of its label (one row per label).
     """
     keyed = rows.withColumn("_h", F.xxhash64("id_transaction", F.lit(seed))).withColumn(
         "_slice", F.shiftrightunsigned("_h", 64 - HASH_BITS).cast("int")
     )
-    counts = keyed.groupBy("label", "_slice").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("label").orderBy("_slice")
-    whole = Window.partitionBy("label")
-    border = (
-        counts.withColumn("_upto", F.sum("n").over(upto))
-        .withColumn("_k", F.floor(F.sum("n").over(whole) * TRAIN_SHARE[0] / TRAIN_SHARE[1]).cast("bigint"))
+    edge = (
+        keyed.groupBy("label", "_slice")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_upto", F.sum("n").over(upto))
+        .withColumn("_k", F.expr(f"sum(n) OVER (PARTITION BY label) * {TRAIN_SHARE[0]} div {TRAIN_SHARE[1]}"))
         .where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("n") < F.col("_k")))
-        .select("label", F.col("_slice").alias("_edge"), (F.col("_k") - F.col("_upto") + F.col("n")).alias("_take"))
+        .select("label", "_slice", (F.col("_k") - F.col("_upto") + F.col("n")).alias("_take"))
     )
-    marked = keyed.join(F.broadcast(border), "label", "left")
-    edge = F.coalesce("_edge", F.lit(-1))
-    on_edge = marked.where(F.col("_slice") == edge)
     rank = F.row_number().over(Window.partitionBy("label", "_slice").orderBy("_h", "id_transaction"))
-    ranked = on_edge.withColumn("_rank", rank)
-    take = lambda df: df.select(*rows.columns)
-    train = take(marked.where(F.col("_slice") < edge)).unionByName(take(ranked.where(F.col("_rank") <= F.col("_take"))))
-    test = take(marked.where(F.col("_slice") > edge)).unionByName(take(ranked.where(F.col("_rank") > F.col("_take"))))
-    return train, test
+    border = (
+        keyed.select("label", "_slice", "_h", "id_transaction")
+        .join(F.broadcast(edge), ["label", "_slice"])
+        .withColumn("_rank", rank)
+        .where(F.col("_rank") == F.col("_take"))
+        .select("label", F.struct("_slice", "_h", "id_transaction").alias("_border"))
+    )
+    place = F.struct("_slice", "_h", "id_transaction")
+    marked = keyed.join(F.broadcast(border), "label", "left").withColumn(
+        "_trains", F.coalesce(place <= F.col("_border"), F.lit(False))
+    )
+    return (
+        marked.where(F.col("_trains")).select(*rows.columns),
+        marked.where(~F.col("_trains")).select(*rows.columns),
+    )
 
 
 def class_counts(rows: DataFrame) -> dict[int, int]:
@@ -106,11 +115,21 @@ def encoder(train: DataFrame) -> list:
     return [indexer, coder, numbers, scaler, joined]
 
 
+def _ready(train: DataFrame, stages: list) -> DataFrame:
+    """Encoded and weighted rows. A small table may lie in one file; it is spread
+    over all cores, as every tree level passes over it. A large one has more
+    files than cores and stays as it is."""
+    counts = class_counts(train)
+    ready = balanced(PipelineModel(stages).transform(train), counts).select("features", "label", "weight")
+    if sum(counts.values()) < SMALL_TABLE:
+        ready = ready.repartition(train.sparkSession.sparkContext.defaultParallelism)
+    return ready
+
+
 def fit(train: DataFrame, classifier=None) -> PipelineModel:
     """Encoder and classifier fitted on the training rows, classes balanced."""
     stages = encoder(train)
-    ready = balanced(PipelineModel(stages).transform(train), class_counts(train))
-    ready = ready.select("features", "label", "weight").persist()
+    ready = _ready(train, stages).persist()
     fitted = (classifier or forest()).fit(ready)
     ready.unpersist()
     return PipelineModel([*stages, fitted])
@@ -203,8 +222,7 @@ def score(model: PipelineModel, requests: DataFrame, *keep: str, at: Column | No
 
 def cross_validate(rows: DataFrame, trees: list[int], depths: list[int], folds: int = 3) -> CrossValidatorModel:
     """Grid search on the area under the precision-recall curve."""
-    stages = encoder(rows)
-    ready = balanced(PipelineModel(stages).transform(rows), class_counts(rows)).select("features", "label", "weight")
+    ready = _ready(rows, encoder(rows))
     learner = forest()
     grid = ParamGridBuilder().addGrid(learner.numTrees, trees).addGrid(learner.maxDepth, depths).build()
     return CrossValidator(

@@ -33,6 +33,12 @@ def build_session(app: str = "cardloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> int:
+    """Shuffle partitions for a job over ``input_bytes``: adaptive execution merges
+    partitions that turn out small but never adds any, so start high enough."""
+    return max(200, -(-input_bytes // partition_bytes))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

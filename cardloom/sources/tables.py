@@ -47,6 +47,23 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Catalog table hashed and sorted by ``key`` into ``buckets`` (one file each).
+
+    Tables bucketed alike on a key are joined on it without a shuffle. About a
+    bucket per few million rows keeps a bucket within one task's memory.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
 def with_month(tx: DataFrame) -> DataFrame:
     """Adds the month as a whole number, 199803 for March 1998."""
     return tx.withColumn(MONTH, F.year("situation_date") * 100 + F.month("situation_date"))

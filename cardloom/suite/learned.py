@@ -96,7 +96,7 @@ SELECT label, part, CASE part WHEN 'train' THEN n * 4 // 5 ELSE n - n * 4 // 5 E
 FROM (SELECT CASE WHEN is_fraud = 'Y' THEN 1 ELSE 0 END AS label, count(*) AS n FROM flat
       WHERE is_fraud IS NOT NULL GROUP BY 1), (VALUES ('train'), ('test')) p(part)""")
 def stratified_split(m: Model):
-    train, test = model.split(features.training_rows(m.docs))
+    train, test = model.split(training_table(m))
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return listing.count_by(both, "label", "part")
 

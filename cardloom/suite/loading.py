@@ -8,9 +8,8 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from cardloom.functions import crypto
-from cardloom.operators import audit, datamarts, derive, enrich, listing, quality  # noqa: F401
-from cardloom.plans import lake, marts
-from cardloom.session import scratch_path
+from cardloom.operators import datamarts, derive, enrich, listing
+from cardloom.plans import lake, marts, surface
 from cardloom.sources import raw, tables
 from cardloom.suite import landing
 from cardloom.suite.base import FRAUDS_SQL, Model, day_sql, mean_sql, money_sql, query, rate_sql, time_sql
@@ -134,6 +133,23 @@ def client_sorted_documents(m: Model):
     return listing.page(docs, listing.transaction_filter(id_client=8), 1, 5).select("id_transaction", "date_transaction")
 
 
+@query("bucketed_card_datamart", f"""
+SELECT id_carte, nb_transactions, {money_sql('total')} AS total_amount,
+       {mean_sql('total', 'nb_transactions')} AS avg_amount, nb_fraudes, CAST(rate AS DOUBLE) / 10000 AS taux_fraude_pct
+FROM rates""")
+def bucketed_card_datamart(m: Model):
+    """Card datamart from stored tables bucketed by transaction: the label join needs no shuffle."""
+    buckets = m.spark.sparkContext.defaultParallelism
+
+    def write(path: str) -> None:
+        for part, df in (("tx", m.transaction), ("label", m.label_fraude)):
+            table = f"cardloom_{part}_{path.rsplit('-', 1)[1]}"
+            tables.write_bucketed(df, table, f"{path}/{part}", "id_transaction", buckets)
+
+    suffix = landing.once(m, "bucketed", write).rsplit("-", 1)[1]
+    return datamarts.card_datamart(m.spark.table(f"cardloom_tx_{suffix}"), m.spark.table(f"cardloom_label_{suffix}"))
+
+
 def _gold(m: Model) -> str:
     t = {"transaction": m.transaction, "label_fraude": m.label_fraude, "marchand": m.marchand, "mcc": m.mcc}
     return landing.once(m, "gold", lambda p: marts.refresh_all(t, p))
@@ -222,6 +238,28 @@ def pseudonymised_clients(m: Model):
     return lake.pseudonymised(m.client.select("id_client", "current_age"), F.lit("sel"))
 
 
+# -------------------------------------------------------------- SQL surface
+
+
+@query("sql_functions", """
+SELECT c.id_carte, coalesce(CAST(r.rate AS DOUBLE) / 10000, 0) AS taux,
+       CASE WHEN coalesce(r.rate, 0) >= 50000 THEN 'Y' ELSE 'N' END AS a_risque,
+       CASE WHEN c.id_carte % 40 < 25 THEN (SELECT libelle_mcc FROM mcc WHERE code_mcc = c.id_carte % 40)
+            ELSE 'MCC inconnu (' || CAST(c.id_carte % 40 AS VARCHAR) || ')' END AS categorie
+FROM carte c LEFT JOIN rates r USING (id_carte)""")
+def sql_functions(m: Model):
+    """The SQL functions called for every card; Spark turns each call into a join."""
+    t = {
+        "transaction": m.transaction, "label_fraude": m.label_fraude, "carte": m.carte, "client": m.client,
+        "marchand": m.marchand, "mcc": m.mcc, "utilisateur_si": m.utilisateur_si,
+    }
+    surface.register(m.spark, t)
+    return m.spark.sql(
+        "SELECT id_carte, fn_calc_taux_fraude_carte(id_carte) AS taux, fn_carte_a_risque(id_carte) AS a_risque, "
+        "fn_get_libelle_mcc(CAST(id_carte % 40 AS INT)) AS categorie FROM carte"
+    )
+
+
 # --------------------------------------------------------------------- lake
 
 

@@ -205,6 +205,31 @@ def test_sql_functions(spark, tiny):
     assert [x.r for x in got] == ["Y", "N", "N", "N"]
 
 
+def test_bucketed_tables_join_without_shuffle(spark, tiny, tmp_path, rows):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = [
+            tables.write_bucketed(tiny[name], f"b_{name}", str(tmp_path / name), "id_transaction", 4)
+            for name in ("transaction", "label_fraude")
+        ]
+        joined = datamarts.labelled(*stored)
+        assert joined.count() == 5
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert rows(datamarts.card_datamart(*stored)) == rows(datamarts.card_datamart(tiny["transaction"], tiny["label_fraude"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_label_exchange_is_shared(spark):
+    """The transaction and label tables of the binding come from one shuffle."""
+    from cardloom.sources.binding import Binding
+
+    m = Binding(spark, "/root/testdata/sf0.001")
+    df = datamarts.card_datamart(m.transaction, m.label_fraude)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_documents_stored_and_scanned_by_label(spark, docs, tmp_path):
     path = str(tmp_path / "docs")
     tables.write_documents(docs, path, drop_existing=True)
@@ -215,4 +240,3 @@ def test_documents_stored_and_scanned_by_label(spark, docs, tmp_path):
     plan = scan._jdf.queryExecution().toString()
     assert "credit_limit" not in plan.split("ReadSchema:")[1].split("\n")[0]
     assert features.training_rows(stored).count() == 4
-    assert datamarts.card_datamart is not None
