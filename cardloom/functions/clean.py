@@ -3,6 +3,8 @@ NULL and is left for the quality checks, it does not end the job."""
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,3 +59,11 @@ def mixed_date(x: Column) -> Column:
 
 def timestamp(x: Column) -> Column:
     return F.try_to_timestamp(F.trim(x), F.lit("yyyy-MM-dd HH:mm:ss"))
+
+
+def moment(value: datetime | date) -> Column:
+    """Literal of a Python date or time. A time without zone is read in the
+    session's zone, not in that of the driver's machine."""
+    if isinstance(value, datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp")
+    return F.lit(value)

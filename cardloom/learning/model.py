@@ -115,15 +115,17 @@ def encoder(train: DataFrame) -> list:
     return [indexer, coder, numbers, scaler, joined]
 
 
+def _spread(rows: DataFrame, n: int) -> DataFrame:
+    """A small table may lie in one file; it is spread over all cores, as it is
+    passed over many times. A large one has more files than cores and stays as it is."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism) if n < SMALL_TABLE else rows
+
+
 def _ready(train: DataFrame, stages: list) -> DataFrame:
-    """Encoded and weighted rows. A small table may lie in one file; it is spread
-    over all cores, as every tree level passes over it. A large one has more
-    files than cores and stays as it is."""
+    """Encoded and weighted rows."""
     counts = class_counts(train)
     ready = balanced(PipelineModel(stages).transform(train), counts).select("features", "label", "weight")
-    if sum(counts.values()) < SMALL_TABLE:
-        ready = ready.repartition(train.sparkSession.sparkContext.defaultParallelism)
-    return ready
+    return _spread(ready, sum(counts.values()))
 
 
 def fit(train: DataFrame, classifier=None) -> PipelineModel:
@@ -163,12 +165,12 @@ def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, Any]:
 
 def train_and_evaluate(rows: DataFrame, classifier=None) -> tuple[PipelineModel, dict[str, Any]]:
     """Split, fit, evaluate. ``rows`` is read several times: pass a stored table."""
-    counts = class_counts(rows)
-    if sum(counts.values()) < MIN_ROWS:
-        raise ValueError(f"at least {MIN_ROWS} labelled rows are needed, not {sum(counts.values())}")
+    n = sum(class_counts(rows).values())
+    if n < MIN_ROWS:
+        raise ValueError(f"at least {MIN_ROWS} labelled rows are needed, not {n}")
     train, test = split(rows)
     model = fit(train, classifier)
-    return model, evaluate(model, test)
+    return model, evaluate(model, _spread(test, n))
 
 
 def save(model: PipelineModel, metrics: dict[str, Any], folder: str) -> None:
@@ -240,4 +242,5 @@ def compare(rows: DataFrame, trees: int = HYPERPARAMETERS["n_estimators"]) -> di
         "GBTClassifier": GBTClassifier(maxIter=20, maxDepth=5, maxBins=64, seed=SEED, **columns),
     }
     train, test = split(rows)
+    test = _spread(test, sum(class_counts(rows).values()))
     return {name: evaluate(fit(train, learner), test) for name, learner in learners.items()}

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardloom.functions.clean import moment
 from cardloom.functions.exact import rate_pct
 from cardloom.operators.datamarts import CARD_METRICS
 
@@ -35,9 +36,9 @@ def transaction_filter(
         if value is not None:
             terms.append(F.col(path) == F.lit(value))
     if date_from is not None:
-        terms.append(F.col("date_transaction") >= F.lit(date_from))
+        terms.append(F.col("date_transaction") >= moment(date_from))
     if date_to is not None:
-        terms.append(F.col("date_transaction") <= F.lit(date_to))
+        terms.append(F.col("date_transaction") <= moment(date_to))
     return reduce(lambda a, b: a & b, terms)
 
 
@@ -70,9 +71,9 @@ def page(docs: DataFrame, condition: Column, number: int = 1, size: int = 20) ->
 
 def page_after(docs: DataFrame, condition: Column, last_date: datetime, last_id: int, size: int = 20) -> DataFrame:
     """Next page behind the row (last_date, last_id) of the previous one."""
-    d, i = F.col("date_transaction"), F.col("id_transaction")
-    behind = (d < F.lit(last_date)) | ((d == F.lit(last_date)) & (i > last_id))
-    return page(docs, condition & (d <= F.lit(last_date)) & behind, 1, size)
+    d, i, last = F.col("date_transaction"), F.col("id_transaction"), moment(last_date)
+    behind = (d < last) | ((d == last) & (i > last_id))
+    return page(docs, condition & (d <= last) & behind, 1, size)
 
 
 def total(docs: DataFrame, condition: Column) -> DataFrame:

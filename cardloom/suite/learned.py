@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from cardloom.functions.clean import moment
 from cardloom.learning import drift, features, model
 from cardloom.operators import listing, quality
 from cardloom.sources import tables
@@ -173,7 +174,7 @@ SELECT feature, round(sum((q - p) * ln(q / p)), 6) AS psi FROM (
         GROUP BY feature, classe)) GROUP BY feature""")
 def feature_drift(m: Model):
     rows = landing.parquet(m, "dated_features", features.document_features(m.docs, "date_transaction"))
-    cut = F.lit(datetime(1998, 1, 1))
+    cut = moment(datetime(1998, 1, 1))
     return drift.stability_index(
         rows.where(F.col("date_transaction") < cut), rows.where(F.col("date_transaction") >= cut),
         ["amount", "current_age", "use_chip", "merchant_state"],

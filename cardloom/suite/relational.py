@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from cardloom.functions.clean import moment
 from cardloom.operators import audit, datamarts, derive, enrich, indicators, listing, quality
 from cardloom.suite.base import (
     FRAUDS_SQL, Model, day_sql, mean_sql, money_sql, query, rate_sql, time_sql,
@@ -528,7 +529,7 @@ SELECT id_transaction, {time_sql('date_transaction')} AS ingere FROM tx
 WHERE date_transaction >= TIMESTAMP '2001-12-31' - INTERVAL 730 DAY""")
 def retained_documents(m: Model):
     rows = m.transaction.select("id_transaction", F.col("date_transaction").alias("ingere"))
-    return quality.retained(rows, F.lit(datetime(2001, 12, 31)), "ingere")
+    return quality.retained(rows, moment(datetime(2001, 12, 31)), "ingere")
 
 
 _REQUEST_SQL = """(
