@@ -41,11 +41,11 @@ class Binding:
             )
         )
         key = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        # The key is required. Said here, the filter that a left join derives for
-        # its right side is already on both sides, and the exchange is shared.
+        # Key and card are required. Said here, the filters that joins on them
+        # derive for one side are already on both, and the exchange is shared.
         return (
             self.given("lineitem")
-            .where(key.isNotNull())
+            .where(key.isNotNull() & F.call_function("div", key, F.lit(10)).isNotNull())
             .groupBy(key.alias("id_transaction"))
             .agg(kept.alias("line"))
             .select("id_transaction", "line.*")

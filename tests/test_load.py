@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import crypto
 from cardloom.learning import features
-from cardloom.operators import datamarts
+from cardloom.operators import datamarts, enrich
 from cardloom.plans import lake, load, marts, surface
 from cardloom.sources import raw, tables
 
@@ -225,9 +225,11 @@ def test_label_exchange_is_shared(spark):
     from cardloom.sources.binding import Binding
 
     m = Binding(spark, "/root/testdata/sf0.001")
-    df = datamarts.card_datamart(m.transaction, m.label_fraude)
-    df.collect()
-    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+    enriched = enrich.enriched(m.transaction, m.carte, m.client, m.marchand, m.mcc, m.label_fraude)
+    for df in (datamarts.card_datamart(m.transaction, m.label_fraude), enriched):
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in final and final.count("l_extendedprice") and final.count("FileScan parquet [l_orderkey") == 1
 
 
 def test_documents_stored_and_scanned_by_label(spark, docs, tmp_path):
