@@ -58,44 +58,48 @@ def daily_datamart(tx: DataFrame, label: DataFrame) -> DataFrame:
     return _finished(_volume(rows, ["situation_date"], "nb_tx"), ["situation_date"], "nb_tx")
 
 
-def merchant_category(merchant: DataFrame, mcc: DataFrame) -> DataFrame:
-    """Merchants with their category. The codes lie in 0..9999, which bounds
-    the broadcast side at 10 000 rows."""
-    return merchant.join(F.broadcast(mcc), "code_mcc")
+def with_category(rows: DataFrame, mcc: DataFrame) -> DataFrame:
+    """Adds the label of ``code_mcc``. The codes lie in 0..9999, which bounds the
+    broadcast side at 10 000 rows."""
+    return rows.join(F.broadcast(mcc.select("code_mcc", "libelle_mcc")), "code_mcc")
 
 
-def category_datamart(tx: DataFrame, merchant: DataFrame, mcc: DataFrame) -> DataFrame:
-    """Per category: volume, amounts and exact number of distinct cards."""
+def category_cards(tx: DataFrame, merchant: DataFrame, salted: bool | None = None, **slicing: int) -> DataFrame:
+    """Volume per (category code, card)."""
     pairs = tx.groupBy("id_marchand", "id_carte").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"), F.count("amount").alias("na")
     )
-    dim = merchant_category(merchant.select("id_marchand", "code_mcc"), mcc)
-    by_card = (
-        spread_join(pairs, dim, "id_marchand", spread_by=["id_carte"])
-        .groupBy("code_mcc", "libelle_mcc", "id_carte")
+    codes = merchant.select("id_marchand", "code_mcc")
+    return (
+        spread_join(pairs, codes, "id_marchand", ["id_carte"], salted=salted, **slicing)
+        .groupBy("code_mcc", "id_carte")
         .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("na").alias("na"))
     )
-    return category_totals(by_card)
 
 
-def category_totals(by_card: DataFrame) -> DataFrame:
-    """Category figures from one row per (category, card)."""
-    return (
-        by_card.groupBy("code_mcc", "libelle_mcc")
-        .agg(
-            F.sum("n").alias("nb_transactions"),
-            F.sum("s").cast("decimal(32,2)").alias("total_amount"),
-            F.sum("na").alias("_na"),
-            F.count("id_carte").alias("nb_cartes_uniques"),
-        )
-        .select(
-            "code_mcc",
-            "libelle_mcc",
-            "nb_transactions",
-            "total_amount",
-            half_up_mean(F.col("total_amount"), F.col("_na")).alias("avg_amount"),
-            "nb_cartes_uniques",
-        )
+def category_datamart(tx: DataFrame, merchant: DataFrame, mcc: DataFrame) -> DataFrame:
+    """Per category: volume, amounts and exact number of distinct cards."""
+    return category_totals(category_cards(tx, merchant), mcc)
+
+
+def category_totals(by_card: DataFrame, mcc: DataFrame | None = None) -> DataFrame:
+    """Category figures from one row per (category, card). Rows that carry no
+    label get it from ``mcc`` at the end, once per category."""
+    keys = ["code_mcc"] if mcc is not None else ["code_mcc", "libelle_mcc"]
+    totals = by_card.groupBy(*keys).agg(
+        F.sum("n").alias("nb_transactions"),
+        F.sum("s").cast("decimal(32,2)").alias("total_amount"),
+        F.sum("na").alias("_na"),
+        F.count("id_carte").alias("nb_cartes_uniques"),
+    )
+    labelled_totals = totals if mcc is None else with_category(totals, mcc)
+    return labelled_totals.select(
+        "code_mcc",
+        "libelle_mcc",
+        "nb_transactions",
+        "total_amount",
+        half_up_mean(F.col("total_amount"), F.col("_na")).alias("avg_amount"),
+        "nb_cartes_uniques",
     )
 
 
@@ -125,8 +129,7 @@ def merchant_volume(tx: DataFrame, merchant: DataFrame, mcc: DataFrame) -> DataF
         F.count("amount").alias("_na"),
     )
     return (
-        merchant_category(merchant, mcc)
-        .join(volume, "id_marchand", "left")
+        with_category(merchant.join(volume, "id_marchand", "left"), mcc)
         .select(
             "id_marchand",
             "merchant_city",
@@ -152,9 +155,13 @@ def fraud_categories(tx: DataFrame, label: DataFrame, merchant: DataFrame, mcc:
         .groupBy("id_marchand")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"))
     )
-    dim = merchant_category(merchant.select("id_marchand", "code_mcc"), mcc)
+    per_code = (
+        per_merchant.join(merchant.select("id_marchand", "code_mcc"), "id_marchand")
+        .groupBy("code_mcc")
+        .agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    )
     return (
-        per_merchant.join(dim, "id_marchand")
+        with_category(per_code, mcc)
         .groupBy("libelle_mcc")
         .agg(F.sum("n").alias("nb_fraudes"), F.sum("s").alias("montant_fraude"))
     )

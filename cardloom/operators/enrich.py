@@ -1,9 +1,9 @@
 """Enriched transactions, flat and as nested documents.
 
-The dimensions are joined to each other first (card with client, merchant with
-category), so the fact is shuffled once per foreign key it really carries. No
-size is assumed for card, client or merchant: Spark broadcasts them only below
-``spark.sql.autoBroadcastJoinThreshold`` and merges sorted sides otherwise.
+Card and client are joined to each other first, so the fact is shuffled at most
+once per foreign key it really carries. No size is assumed for card, client or
+merchant: they are broadcast only below ``spark.sql.autoBroadcastJoinThreshold``
+and merged as sorted sides otherwise.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.operators.datamarts import labelled, merchant_category
+from cardloom.operators.datamarts import labelled, with_category
 from cardloom.operators.skew import spread_join
 
 # Allow-lists: nothing else of card and client leaves the relational tables.
@@ -28,7 +28,7 @@ FLAT_COLUMNS = [
 def card_holder(card: DataFrame, client: DataFrame) -> DataFrame:
     """Cards with their owner, one row per card."""
     owned = card.select(*CARD_COLUMNS, "id_client")
-    return spread_join(owned, client.select(*CLIENT_COLUMNS), "id_client", spread_by=["id_carte"])
+    return spread_join(owned, client.select(*CLIENT_COLUMNS), "id_client", ["id_carte"])
 
 
 def enriched(
@@ -39,11 +39,10 @@ def enriched(
     A transaction without card, client, merchant or category is left out; one
     without label stays, with NULL.
     """
-    shop = merchant_category(merchant.select(*MERCHANT_COLUMNS, "code_mcc"), mcc)
     rows = labelled(tx.select(*TX_COLUMNS), label)
-    rows = spread_join(rows, card_holder(card, client), "id_carte", spread_by=["id_transaction"])
-    rows = spread_join(rows, shop, "id_marchand", spread_by=["id_transaction"])
-    return rows.select(*FLAT_COLUMNS)
+    rows = spread_join(rows, card_holder(card, client), "id_carte", ["id_transaction"], made_from=(card, client))
+    rows = spread_join(rows, merchant.select(*MERCHANT_COLUMNS, "code_mcc"), "id_marchand", ["id_transaction"])
+    return with_category(rows, mcc).select(*FLAT_COLUMNS)
 
 
 def first_rows(flat: DataFrame, n: int) -> DataFrame:

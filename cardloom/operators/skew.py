@@ -1,4 +1,5 @@
-"""Join of a fact with a dimension when single keys may hold much of the fact."""
+"""Join of a fact with a dimension: broadcast by checked size, else shuffled, with
+care for single keys that hold much of the fact."""
 
 from __future__ import annotations
 
@@ -16,23 +17,47 @@ def _runtime_split(df: DataFrame) -> bool:
     )
 
 
+def _planned_bytes(df: DataFrame) -> int:
+    """Size by Spark's own estimate: of files, the bytes on disk after pruning."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _threshold(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    return int(text.lower().removesuffix("b"))
+
+
+def fits_broadcast(*inputs: DataFrame) -> bool:
+    """Whether the inputs together are below Spark's broadcast threshold."""
+    limit = _threshold(inputs[0])
+    return limit > 0 and sum(_planned_bytes(df) for df in inputs) <= limit
+
+
 def spread_join(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
     spread_by: list[str],
+    made_from: tuple[DataFrame, ...] = (),
     rows_per_slice: int = ROWS_PER_SLICE,
     salted: bool | None = None,
 ) -> DataFrame:
     """Inner join on ``key``, unique in ``dim``.
 
-    With adaptive skew join on, Spark splits an over-large partition itself, at
-    no extra pass, and a plain join is enough. Otherwise hot keys are salted:
-    a key with n rows is cut into ceil(n / rows_per_slice) slices and its
-    dimension row copied once per slice. At most (fact rows / rows_per_slice)
-    keys can be hot, which bounds both the broadcast list and the copies.
+    Spark broadcasts a small table by itself, but for a join result its estimate
+    is the product of the sides. For a ``dim`` that joins each row of one table
+    with one row of another, name the tables in ``made_from``: it is broadcast
+    when they fit together.
+
+    Beyond that size both sides are shuffled. With adaptive skew join on, Spark
+    splits an over-large partition itself, at no extra pass. Otherwise hot keys
+    are salted: a key with n rows is cut into ceil(n / rows_per_slice) slices
+    and its dimension row copied once per slice. At most (fact rows /
+    rows_per_slice) keys can be hot, which bounds the broadcast list and the copies.
     """
     if salted is None:
+        if made_from and fits_broadcast(*made_from):
+            return fact.join(F.broadcast(dim), key)
         salted = not _runtime_split(fact)
     if not salted:
         return fact.join(dim, key)

@@ -64,17 +64,12 @@ def card_state(tx: DataFrame, label: DataFrame) -> DataFrame:
     return d._volume(rows, ["id_carte"], "nb_transactions")
 
 
-def pair_state(tx: DataFrame, merchant: DataFrame, mcc: DataFrame) -> DataFrame:
-    pairs = tx.groupBy("id_marchand", "id_carte").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"), F.count("amount").alias("na")
-    )
-    dim = d.merchant_category(merchant.select("id_marchand", "code_mcc"), mcc)
-    joined = d.spread_join(pairs, dim, "id_marchand", spread_by=["id_carte"])
-    return _summed(joined, ["code_mcc", "libelle_mcc", "id_carte"])
+def pair_state(tx: DataFrame, merchant: DataFrame) -> DataFrame:
+    return d.category_cards(tx, merchant)
 
 
 def _summed(df: DataFrame, keys: list[str]) -> DataFrame:
-    figures = [c for c in df.columns if c not in keys and c != "id_marchand"]
+    figures = [c for c in df.columns if c not in keys]
     kinds = dict(df.dtypes)
     return df.groupBy(*keys).agg(
         *[
@@ -92,8 +87,8 @@ def card_from_state(state: DataFrame) -> DataFrame:
     return d._finished(state, ["id_carte"], "nb_transactions")
 
 
-def category_from_state(state: DataFrame) -> DataFrame:
-    return d.category_totals(state)
+def category_from_state(state: DataFrame, mcc: DataFrame) -> DataFrame:
+    return d.category_totals(state, mcc)
 
 
 def apply_batch(spark: SparkSession, t: dict[str, DataFrame], gold: str, batch_id: str) -> None:
@@ -107,12 +102,13 @@ def apply_batch(spark: SparkSession, t: dict[str, DataFrame], gold: str, batch_i
     tables.overwrite(card, f"{gold}/state/card/{batch_id}")
     pair = added(
         _state(spark, gold, "pair", batch_id),
-        pair_state(t["transaction"], t["marchand"], t["mcc"]),
-        ["code_mcc", "libelle_mcc", "id_carte"],
+        pair_state(t["transaction"], t["marchand"]),
+        ["code_mcc", "id_carte"],
     )
     tables.overwrite(pair, f"{gold}/state/pair/{batch_id}")
     tables.overwrite(card_from_state(spark.read.parquet(f"{gold}/state/card/{batch_id}")), f"{gold}/card")
-    tables.overwrite(category_from_state(spark.read.parquet(f"{gold}/state/pair/{batch_id}")), f"{gold}/category")
+    pairs = spark.read.parquet(f"{gold}/state/pair/{batch_id}")
+    tables.overwrite(category_from_state(pairs, t["mcc"]), f"{gold}/category")
 
 
 def _state(spark: SparkSession, gold: str, kind: str, batch_id: str) -> DataFrame | None:

@@ -47,17 +47,8 @@ def category_datamart(m: Model):
 @query("category_datamart_salted", _CATEGORY_SQL)
 def category_datamart_salted(m: Model):
     """Same result by the salted join, used when adaptive skew join is off."""
-    from cardloom.operators.skew import spread_join
-
-    pairs = m.transaction.groupBy("id_marchand", "id_carte").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"), F.count("amount").alias("na")
-    )
-    dim = datamarts.merchant_category(m.marchand.select("id_marchand", "code_mcc"), m.mcc)
-    joined = spread_join(pairs, dim, "id_marchand", ["id_carte"], rows_per_slice=100, salted=True)
-    by_card = joined.groupBy("code_mcc", "libelle_mcc", "id_carte").agg(
-        F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("na").alias("na")
-    )
-    return datamarts.category_totals(by_card)
+    by_card = datamarts.category_cards(m.transaction, m.marchand, salted=True, rows_per_slice=100)
+    return datamarts.category_totals(by_card, m.mcc)
 
 
 @query("client_cards", f"""

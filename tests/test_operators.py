@@ -296,3 +296,41 @@ def test_join_is_plain_only_with_runtime_split(spark, capsys):
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spread_join(fact, dim, "k", ["k"]).explain()
     assert "_slice" not in capsys.readouterr().out
+
+
+def test_broadcast_only_below_the_threshold(spark, tiny, docs, capsys):
+    from cardloom.operators.skew import fits_broadcast
+
+    small = spark.range(100)
+    assert fits_broadcast(small) and not fits_broadcast(spark.range(10_000_000))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not fits_broadcast(small)
+        enrich.card_holder(tiny["carte"], tiny["client"]).explain()
+        assert "SortMergeJoin" in capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_means_equal_decimal_arithmetic(spark):
+    """Random totals against Python's decimal half-up."""
+    import random
+    from decimal import ROUND_HALF_UP
+
+    from cardloom.functions.exact import half_up_mean
+
+    rnd = random.Random(5)
+    data = [(D(rnd.randint(-10**9, 10**9)) / 100, rnd.randint(1, 2000)) for _ in range(3000)]
+    df = spark.createDataFrame([(str(t), n) for t, n in data], "t string, n bigint")
+    got = [r[0] for r in df.select(half_up_mean(F.col("t").cast("decimal(22,2)"), F.col("n"))).collect()]
+    want = [(t / n).quantize(D("0.01"), rounding=ROUND_HALF_UP) for t, n in data]
+    assert [g + 0 for g in got] == [w + 0 for w in want]
+
+
+def test_document_filters_reach_the_scan(spark, docs, tmp_path):
+    path = str(tmp_path / "d")
+    docs.write.parquet(path)
+    stored = spark.read.parquet(path)
+    plan = stored.where(listing.transaction_filter(id_client=1, date_from=datetime(2024, 1, 1)))._jdf.queryExecution().toString()
+    pushed = plan.split("PushedFilters:")[1].split("]")[0]
+    assert "client.id_client" in pushed and "date_transaction" in pushed
