@@ -107,18 +107,17 @@ def write_documents(docs: DataFrame, path: str, drop_existing: bool = False) ->
     docs.write.mode("overwrite" if drop_existing else "append").parquet(path)
 
 
-def write_client_sorted(docs: DataFrame, path: str) -> None:
-    """Documents laid out for "transactions of a client, newest first".
+def write_clustered(docs: DataFrame, path: str, *keys: str, newest_first: bool = False) -> None:
+    """Documents laid out for filters on ``keys`` (dotted names reach into structs).
 
-    Ranges are cut by (client, date), so a client with many rows spans several
-    files; min/max statistics let a client filter skip the rest.
+    Ranges are cut by the keys and the date, so a key with many rows spans
+    several files; the files' min/max then let a filter skip the others. By
+    ``id_transaction`` this serves point lookups, by ``client.id_client`` with
+    ``newest_first`` the list of a client.
     """
-    (
-        docs.repartitionByRange("client.id_client", "date_transaction")
-        .sortWithinPartitions("client.id_client", F.desc("date_transaction"))
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    order = [F.col(k) for k in keys] + ([F.desc("date_transaction")] if newest_first else [])
+    ranges = [*keys, "date_transaction"] if newest_first else list(keys)
+    docs.repartitionByRange(*ranges).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

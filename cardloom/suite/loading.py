@@ -128,11 +128,22 @@ def stored_documents(m: Model):
 SELECT id_transaction, {time_sql('date_transaction')} AS date_transaction FROM flat WHERE id_client = 8
 ORDER BY flat.date_transaction DESC, id_transaction LIMIT 5""")
 def client_sorted_documents(m: Model):
-    path = landing.once(m, "by_client", lambda p: tables.write_client_sorted(m.docs, p))
+    path = landing.once(
+        m, "by_client", lambda p: tables.write_clustered(m.docs, p, "client.id_client", newest_first=True)
+    )
     docs = tables.read_documents(m.spark, path)
     return listing.page(docs, listing.transaction_filter(id_client=8), 1, 5).select("id_transaction", "date_transaction")
 
 
+@query("find_stored_transaction", f"""
+SELECT id_transaction, id_carte, id_client, code_mcc, {money_sql('cents')} AS amount FROM flat WHERE id_transaction = 13""")
+def find_stored_transaction(m: Model):
+    """Point lookup in documents clustered by id: one file's row group is read."""
+    path = landing.once(m, "by_id", lambda p: tables.write_clustered(m.docs, p, "id_transaction"))
+    found = listing.find_transaction(tables.read_documents(m.spark, path), 13)
+    return enrich.flatten(found).select("id_transaction", "id_carte", "id_client", "code_mcc", "amount")
+
+
 @query("bucketed_card_datamart", f"""
 SELECT id_carte, nb_transactions, {money_sql('total')} AS total_amount,
        {mean_sql('total', 'nb_transactions')} AS avg_amount, nb_fraudes, CAST(rate AS DOUBLE) / 10000 AS taux_fraude_pct

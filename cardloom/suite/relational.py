@@ -391,22 +391,6 @@ UNION ALL SELECT id_transaction * 100 + CASE WHEN l_discount >= 0.09 THEN 1 ELSE
        'Insufficient Balance' FROM ln WHERE l_tax >= 0.07)"""
 
 
-@query("table_counts", f"""
-SELECT 'MCC' AS nom_table, count(*) AS nb_lignes FROM mcc UNION ALL SELECT 'CLIENT', count(*) FROM client
-UNION ALL SELECT 'CARTE', count(*) FROM carte UNION ALL SELECT 'MARCHAND', count(*) FROM marchand
-UNION ALL SELECT 'TRANSACTION', count(*) FROM tx UNION ALL SELECT 'LABEL_FRAUDE', count(*) FROM label
-UNION ALL SELECT 'UTILISATEUR_SI', count(*) FROM utilisateur
-UNION ALL SELECT 'ERREUR_TRANSACTION', count(*) FROM {_ERRORS_SQL} e""")
-def table_counts(m: Model):
-    return listing.table_counts(
-        {
-            "MCC": m.mcc, "CLIENT": m.client, "CARTE": m.carte, "MARCHAND": m.marchand,
-            "TRANSACTION": m.transaction, "LABEL_FRAUDE": m.label_fraude,
-            "UTILISATEUR_SI": m.utilisateur_si, "ERREUR_TRANSACTION": derive.error_rows(m.error_texts),
-        }
-    )
-
-
 @query("datamart_counts", f"""
 SELECT 'card' AS nom_table, count(*) AS nb_lignes FROM mart
 UNION ALL SELECT 'daily', count(DISTINCT situation_date) FROM tl
@@ -588,7 +572,6 @@ def client_changes(m: Model):
 _CARTE_AFTER = _after_sql(
     "carte", "id_carte", "limit_cents", "limit_cents + 10000", "id_carte, id_client, card_brand, limit_cents, card_on_dark_web"
 )
-_LIMIT = "CAST(CAST({0}.limit_cents AS DECIMAL(18,0)) / 100 AS DECIMAL(12,2))"
 
 
 def _limit(alias: str) -> str:
@@ -648,6 +631,24 @@ def audit_report(m: Model):
     return listing.count_by(_journal(m), "table_concernee", "operation")
 
 
+@query("table_counts", f"""
+SELECT 'MCC' AS nom_table, count(*) AS nb_lignes FROM mcc UNION ALL SELECT 'CLIENT', count(*) FROM client
+UNION ALL SELECT 'CARTE', count(*) FROM carte UNION ALL SELECT 'MARCHAND', count(*) FROM marchand
+UNION ALL SELECT 'TRANSACTION', count(*) FROM tx UNION ALL SELECT 'LABEL_FRAUDE', count(*) FROM label
+UNION ALL SELECT 'UTILISATEUR_SI', count(*) FROM utilisateur
+UNION ALL SELECT 'ERREUR_TRANSACTION', count(*) FROM {_ERRORS_SQL} e
+UNION ALL SELECT 'JOURNAL_AUDIT', count(*) FROM ({_CLIENT_CHANGES} UNION ALL {_CARTE_CHANGES} UNION ALL {_USER_CHANGES}) j""")
+def table_counts(m: Model):
+    return listing.table_counts(
+        {
+            "MCC": m.mcc, "CLIENT": m.client, "CARTE": m.carte, "MARCHAND": m.marchand,
+            "TRANSACTION": m.transaction, "LABEL_FRAUDE": m.label_fraude,
+            "UTILISATEUR_SI": m.utilisateur_si, "ERREUR_TRANSACTION": derive.error_rows(m.error_texts),
+            "JOURNAL_AUDIT": _journal(m),
+        }
+    )
+
+
 @query("audit_history", f"""
 SELECT table_concernee, id_ligne_concernee, operation, valeur_avant, valeur_apres,
        '2024-06-01 00:00:00' AS date_operation

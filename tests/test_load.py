@@ -220,6 +220,30 @@ def test_bucketed_tables_join_without_shuffle(spark, tiny, tmp_path, rows):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_clustered_files_do_not_overlap(spark, tmp_path):
+    """Ids of the files are disjoint ranges, and one hot client spans several files."""
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "c")
+    i = F.col("id")
+    docs = spark.range(20000).select(
+        i.alias("id_transaction"), F.timestamp_seconds(i % 977).alias("date_transaction"),
+        F.struct(F.when(i % 3 == 0, 7).otherwise(i % 50).alias("id_client")).alias("client"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_clustered(docs, path, "id_transaction")
+        files = sorted((tmp_path / "c").glob("*.parquet"))
+        spans = sorted((t["id_transaction"].to_pylist()[0], t["id_transaction"].to_pylist()[-1]) for t in map(pq.read_table, files))
+        assert len(spans) == 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+        tables.write_clustered(docs, path, "client.id_client", newest_first=True)
+        hot = [f for f in (tmp_path / "c").glob("*.parquet") if 7 in {c["id_client"] for c in pq.read_table(f)["client"].to_pylist()}]
+        assert len(hot) > 1
+        assert spark.read.parquet(path).count() == 20000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_label_exchange_is_shared(spark):
     """The transaction and label tables of the binding come from one shuffle."""
     from cardloom.sources.binding import Binding
