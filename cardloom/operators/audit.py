@@ -77,8 +77,10 @@ def changes(before: DataFrame, after: DataFrame, watch: Watch) -> DataFrame:
 
 
 def stamped(rows: DataFrame, user_id: Column, at: Column, ip: Column | None = None) -> DataFrame:
-    """Change rows as rows of the journal. The key is a hash of what identifies
-    the change, so a repeated job writes the same keys."""
+    """Change rows as rows of the journal. The key is a 64-bit hash of what identifies
+    the change, so a repeated job writes the same keys. (Among a billion changes
+    two share a key with a chance of about one in twenty; table, row, operation
+    and time together are always unique.)"""
     return rows.select(
         F.abs(F.xxhash64("table_concernee", "id_ligne_concernee", "operation", at)).alias("id_audit"),
         user_id.cast("int").alias("id_utilisateur"),

@@ -189,7 +189,8 @@ def retained(df: DataFrame, now: Column, ingested: str = "_ingested_at") -> Data
 def request_rules() -> dict[str, Column]:
     """Contract of a score request: predicates that hold for a valid one."""
     return {
-        "amount": F.coalesce(_c("amount") > 0, F.lit(False)),
+        # NaN is above every number in Spark's order, and no amount
+        "amount": F.coalesce((_c("amount") > 0) & ~F.isnan("amount"), F.lit(False)),
         "use_chip": _null_or("use_chip", _c("use_chip").isin(*USE_CHIP_VALUES)),
         "mcc_code": _null_or("mcc_code", _c("mcc_code") >= 0),
         "merchant_state": _null_or("merchant_state", F.length("merchant_state") <= 10),

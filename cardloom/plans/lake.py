@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions.crypto import pseudonym
 from cardloom.operators import derive, quality
-from cardloom.sources import raw, tables
+from cardloom.sources import raw
 
 
 def to_bronze(spark: SparkSession, csv_path: str, bronze: str, situation_date: Column) -> None:
@@ -67,7 +67,3 @@ def erased(t: dict[str, DataFrame], clients: DataFrame) -> dict[str, DataFrame]:
 def pseudonymised(df: DataFrame, salt: Column, column: str = "id_client") -> DataFrame:
     """The id replaced by a keyed hash; equal ids stay joinable."""
     return df.withColumn(column, pseudonym(F.col(column), salt))
-
-
-def write_silver(tx: DataFrame, path: str) -> None:
-    tables.write_monthly(tx, path, append_rows=False)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,7 +68,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return bool(fs.exists(hadoop_path))
-
-
-def local_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")

@@ -57,13 +57,13 @@ def mcc_codes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fraud_labels(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON object id -> "Yes"/"No", bare or below "target".
+    """One JSON object id -> "Yes"/"No" (or true/false, 1/0), bare or below "target".
 
     As a single JSON record the file could not be split. Read with ',' as line
     separator it can: every record holds at most one entry.
     """
     entry = spark.read.option("lineSep", ",").text(path)
-    part = lambda i: F.regexp_extract("value", r'"(\d+)"\s*:\s*"([^"]*)"', i)
+    part = lambda i: F.regexp_extract("value", r'"(\d+)"\s*:\s*"?([^",}]*)', i)
     return (
         entry.select(part(1).alias("id"), part(2).alias("label"))
         .where(F.col("id") != "")

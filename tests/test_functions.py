@@ -112,3 +112,35 @@ def test_pseudonym_is_stable_and_salted(spark):
     a = [r[0] for r in df.select(crypto.pseudonym(F.col("id"), F.lit("s"))).collect()]
     b = [r[0] for r in df.select(crypto.pseudonym(F.col("id"), F.lit("t"))).collect()]
     assert a[0] == a[1] != a[2] and a[0] != b[0]
+
+
+def test_shared_dir_and_partition_count(spark):
+    from cardloom import session
+
+    assert session.shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
+    assert a != b and a.startswith(session.shared_dir(spark)) and not session.path_exists(spark, a)
+    assert session.shuffle_partitions_for(10) == 200
+    assert session.shuffle_partitions_for(100 * 10**12) > 700_000
+
+
+def test_cluster_without_shared_dir_is_refused():
+    from cardloom import session
+
+    class Conf:
+        def get(self, key):
+            return None
+
+    class Found:
+        def isDefined(self):
+            return False
+
+    class Context:
+        master = "spark://somewhere"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: Found()})()})()
+
+        def getConf(self):
+            return Conf()
+
+    with pytest.raises(ValueError):
+        session.shared_dir(type("Session", (), {"sparkContext": Context()})())

@@ -133,6 +133,12 @@ def test_label_file_without_wrapper_and_in_splits(spark, tmp_path, rows):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_label_values_of_other_kinds(spark, tmp_path, rows):
+    path = tmp_path / "l.json"
+    path.write_text('{"1": true, "2": false, "3": 1, "4": 0, "5": null, "6": "yes"}')
+    assert rows(raw.fraud_labels(spark, str(path))) == [(1, "Y"), (2, "N"), (3, "Y"), (4, "N"), (5, "N"), (6, "Y")]
+
+
 def test_csv_prunes_columns(spark, raw_dir):
     plan = raw.transactions(spark, str(raw_dir / "transactions_data.csv"), ["id", "errors"])._jdf.queryExecution().toString()
     assert "ReadSchema: struct<id:string,errors:string>" in plan

@@ -242,7 +242,7 @@ def test_request_contract(spark):
     df = spark.createDataFrame(
         [
             (10.0, None, None, None, None, None, None), (0.0, "Chip Transaction", 1, "CA", 0, 1.0, "Male"),
-            (None, None, None, None, None, None, None), (5.0, "Cash", -1, "x" * 11, 24, 120.0, "Other"),
+            (float("nan"), None, None, None, None, None, None), (5.0, "Cash", -1, "x" * 11, 24, 120.0, "Other"),
         ],
         schema,
     )
