@@ -23,8 +23,8 @@ def _planned_bytes(df: DataFrame) -> int:
 
 
 def _threshold(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    return int(text.lower().removesuffix("b"))
+    """Spark's broadcast threshold in bytes, whatever unit it was set in."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def fits_broadcast(*inputs: DataFrame) -> bool:

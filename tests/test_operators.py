@@ -308,6 +308,8 @@ def test_broadcast_only_below_the_threshold(spark, tiny, docs, capsys):
         assert not fits_broadcast(small)
         enrich.card_holder(tiny["carte"], tiny["client"]).explain()
         assert "SortMergeJoin" in capsys.readouterr().out
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1GB")
+        assert fits_broadcast(spark.range(10_000_000))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
