@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.llm.bytelevel import Vocabulary, read_vocabulary
-from cardloom.llm.common import map_rows
+from cardloom.llm.common import Shared, map_rows
 
 #: Words of which a task keeps the result, and the longest one kept.
 KEPT_WORDS, KEPT_CHARS = 300_000, 40
@@ -136,36 +136,13 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_codecs: dict[int, Codec] = {}
-
-
-def codec(shared) -> Codec:
-    """The worker's codec of a broadcast vocabulary."""
-    if shared.id not in _codecs:
-        _codecs.clear()
-        _codecs[shared.id] = Codec(shared.value)
-    return _codecs[shared.id]
-
-
-class _Shared:
-    """A broadcast with a name that is the same in every worker."""
-
-    def __init__(self, spark, vocabulary: Vocabulary):
-        self.data = spark.sparkContext.broadcast(vocabulary)
-        self.id = id(self.data)
-
-    @property
-    def value(self) -> Vocabulary:
-        return self.data.value
-
-
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``ids array<int>``, ``n_tokens long`` of each row; ``path`` names a byte-level BPE file."""
-    shared = _Shared(docs.sparkSession, read_vocabulary(path))
+    shared = Shared(docs.sparkSession, read_vocabulary(path))
     source = docs.select(F.col(id_col), F.col(text_col))
 
     def factory():
-        c = codec(shared)
+        c = shared.built("codec", Codec)
 
         def row(key, text):
             ids = c.encode(text or "")
@@ -178,11 +155,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``id_col``, ``text string`` of each row; a null list gives an empty text."""
-    shared = _Shared(encoded.sparkSession, read_vocabulary(path))
+    shared = Shared(encoded.sparkSession, read_vocabulary(path))
     source = encoded.select(F.col(id_col), F.col(ids_col))
 
     def factory():
-        c = codec(shared)
+        c = shared.built("codec", Codec)
         return lambda key, ids: (key, c.decode(ids or []))
 
     return map_rows(source, factory, f"`{id_col}` {source.dtypes[0][1]}, text string")
@@ -193,11 +170,11 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     Gives ``id_col``, ``n_tokens long``, ``ids_sha256``, ``decoded_sha256 string``.
     """
-    shared = _Shared(docs.sparkSession, read_vocabulary(path))
+    shared = Shared(docs.sparkSession, read_vocabulary(path))
     source = docs.select(F.col(id_col), F.col(text_col))
 
     def factory():
-        c = codec(shared)
+        c = shared.built("codec", Codec)
         names = [str(i) for i in range(len(c.tokens))]
 
         def row(key, text):

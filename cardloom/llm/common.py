@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +40,32 @@ def numbered(frame: DataFrame, name: str, column: str = "rid") -> DataFrame:
     return written(frame.withColumn(column, F.monotonically_increasing_id()), name)
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def shipped(spark: SparkSession) -> None:
+    """Sends the package to the executors, once a session, unless their Python finds it by PYTHONPATH."""
+    package = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _shipped_to:
+        return
+    _shipped_to.add(context.applicationId)
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
+_shipped_to: set[str] = set()
+
+
+def python_ready(spark: SparkSession) -> None:
+    """Readies a session for Python in tasks: Arrow batches of bounded size, and this package on the executors."""
+    shipped(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def map_batches(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    bounded_batches(frame.sparkSession)
+    python_ready(frame.sparkSession)
     return frame.mapInArrow(run, schema)
 
 
@@ -74,3 +98,24 @@ def arrow_schema(schema: str) -> pa.Schema:
 def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows, strict=True) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+_built: dict[tuple[str, str], object] = {}
+
+
+class Shared:
+    """A broadcast value of bounded size, and what each Python worker builds from it once."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.data = spark.sparkContext.broadcast(value)
+        self.name = uuid.uuid4().hex
+
+    @property
+    def value(self):
+        return self.data.value
+
+    def built(self, what: str, make: Callable):
+        if (self.name, what) not in _built:
+            _built.clear()
+            _built[self.name, what] = make(self.value)
+        return _built[self.name, what]

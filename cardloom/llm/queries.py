@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import bpe
+from cardloom.llm import bpe, mixing, ngramjoin, secretscan, vectors, webtext, wordpiece
 from cardloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,56 @@ def query(sql: str | None = None):
 @query()
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '')) AS key
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+r AS (SELECT source, source_size, ([5, 2, 1])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS w FROM s),
+-- the sources by the level at which they reach their cap; the level holds from the first one that it leaves uncapped
+c AS (
+  SELECT *, 2.0::DOUBLE * source_size / w AS ratio,
+         (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+         / sum(w) OVER (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level
+  FROM r),
+l AS (SELECT arg_min(level, ratio) AS level FROM c WHERE ratio > level),
+t AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, coalesce((SELECT level FROM l), 0) * w) AS target FROM r),
+b AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS budget,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN source_size = 0 THEN 0::BIGINT
+            ELSE (budget // source_size) * size + greatest(0, least(size, budget - (budget // source_size) * source_size - before)) END AS taken
+FROM b
+""")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(table(spark, sf_dir, "documents")).drop("rid")
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
