@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardloom.llm import bpe, mixing, ngramjoin, secretscan, vectors, webtext, wordpiece
+from cardloom.llm import bpe, fingerprints, language, mixing, ngramjoin, quality, secretscan, vectors, webtext, wordpiece
 from cardloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +81,23 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = quality.fit(docs, table(spark, sf_dir, "labels"), ~quality.held_out())
+    scores = quality.scored(docs, machine, ["doc_id"])
+    return scores.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.GOOD).cast("int").alias("predicted"))
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = quality.held_out(folds=3, fold=1)
+    return language.predicted(docs, language.fit(docs, ~kept), ["doc_id"]).select("doc_id", kept.alias("held_out"), "lang_pred", "score")
