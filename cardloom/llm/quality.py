@@ -147,17 +147,17 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_col:
     return Machine.from_bytes(found[0].machine) if found else None
 
 
-def scored(docs: DataFrame, machine: Machine | None, columns: list[str], text_col: str = "text") -> DataFrame:
-    """``columns`` of ``docs`` and ``score double`` of each row."""
+def scored(docs: DataFrame, machine: Machine | None, columns: list[str], text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``columns`` of ``docs`` and the score, a double, of each row."""
     shared = Shared(docs.sparkSession, None if machine is None else machine.to_bytes())
-    source = docs.select(*columns, F.col(text_col).alias("_text"))
+    source = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(text_col).alias("_text of score"))
     kinds = dict(source.dtypes)
 
     def factory():
         m = None if shared.value is None else shared.built("machine", Machine.from_bytes)
         return lambda *values: (*values[:-1], 0.5 if m is None else m.score(values[-1]))
 
-    return map_rows(source, factory, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", score double")
+    return map_rows(source, factory, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + f", `{score_col}` double")
 
 
 def held_out(column: str = "doc_id", folds: int = 5, fold: int = 0) -> Column:
