@@ -115,7 +115,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     firsts = _slices(rows.select("id"))
     slices = max(1, len(firsts))
-    own = F.coalesce(_slice_of(F.col("id"), firsts) - 1, F.lit(slices - 1)) if firsts else F.lit(0)
+    own = F.when(F.col("id").isNull(), slices - 1).otherwise(_slice_of(F.col("id"), firsts) - 1) if firsts else F.lit(0)
     head = F.coalesce(F.col("id") == F.element_at(F.array(*map(F.lit, firsts)), F.col("slice") + 1), F.lit(False)) if firsts else F.lit(True)
     placed = rows.withColumn("slice", own.cast("int"))
     here = F.struct(F.lit(0).alias("copy"), F.col("slice").alias("at"))

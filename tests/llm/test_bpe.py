@@ -43,7 +43,7 @@ def test_same_ids_and_texts_as_the_library(library, vocabulary):
 
 
 def test_frames(spark, docs_of, library):
-    rows = list(enumerate(ODD)) + [(100, None), (None, "null id"), (0, ""), (5, "again"), (5, "again")]
+    rows = list(enumerate(ODD)) + [(100, None), (None, "null id"), (700, ""), (800, "again"), (800, "again")]
     docs = docs_of(rows)
     encoded = bpe.encode(docs, PATH)
     got = sorted(((r.doc_id, tuple(r.ids), r.n_tokens) for r in encoded.collect()), key=str)
