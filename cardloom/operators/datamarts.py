@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.functions.exact import half_up_mean, rate_pct
-from cardloom.operators.skew import spread_join
+from cardloom.operators.skew import fits_broadcast, spread_join
 
 CARD_METRICS = ("nb_transactions", "total_amount", "nb_fraudes", "taux_fraude_pct")
 
@@ -59,17 +59,24 @@ def daily_datamart(tx: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def with_category(rows: DataFrame, mcc: DataFrame) -> DataFrame:
-    """Adds the label of ``code_mcc``. The codes lie in 0..9999, which bounds the
-    broadcast side at 10 000 rows."""
-    return rows.join(F.broadcast(mcc.select("code_mcc", "libelle_mcc")), "code_mcc")
+    """Adds the label of ``code_mcc``; the table is broadcast if it is below Spark's threshold."""
+    return rows.join(mcc.select("code_mcc", "libelle_mcc"), "code_mcc")
 
 
 def category_cards(tx: DataFrame, merchant: DataFrame, salted: bool | None = None, **slicing: int) -> DataFrame:
-    """Volume per (category code, card)."""
+    """Volume per (category code, card).
+
+    A merchant table below the broadcast threshold is joined first, without a
+    shuffle; else the fact is reduced to (merchant, card) before it meets it.
+    """
+    codes = merchant.select("id_marchand", "code_mcc")
+    if salted is None and fits_broadcast(merchant):
+        return tx.join(F.broadcast(codes), "id_marchand").groupBy("code_mcc", "id_carte").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"), F.count("amount").alias("na")
+        )
     pairs = tx.groupBy("id_marchand", "id_carte").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"), F.count("amount").alias("na")
     )
-    codes = merchant.select("id_marchand", "code_mcc")
     return (
         spread_join(pairs, codes, "id_marchand", ["id_carte"], salted=salted, **slicing)
         .groupBy("code_mcc", "id_carte")

@@ -60,10 +60,8 @@ def client_risk(client: DataFrame, card: DataFrame, card_mart: DataFrame) -> Dat
 
 
 def category_label(rows: DataFrame, mcc: DataFrame) -> DataFrame:
-    """Adds the label of ``code_mcc``, or a text that names the unknown code.
-
-    Codes lie in 0..9999: at most 10 000 rows are broadcast."""
-    names = F.broadcast(mcc.select("code_mcc", F.col("libelle_mcc").alias("_label")))
+    """Adds the label of ``code_mcc``, or a text that names the unknown code."""
+    names = mcc.select("code_mcc", F.col("libelle_mcc").alias("_label"))
     fallback = F.concat(F.lit("MCC inconnu ("), F.col("code_mcc").cast("string"), F.lit(")"))
     return rows.join(names, "code_mcc", "left").withColumn(
         "libelle_mcc", F.coalesce("_label", fallback)
@@ -71,8 +69,9 @@ def category_label(rows: DataFrame, mcc: DataFrame) -> DataFrame:
 
 
 def user_ids(rows: DataFrame, users: DataFrame, login: str = "login") -> DataFrame:
-    """Adds ``id_utilisateur`` for a login, whatever its case; 0 when unknown."""
-    known = users.select(F.upper("login").alias("_login"), F.col("id_utilisateur").alias("_id"))
+    """Adds ``id_utilisateur`` for a login, whatever its case; 0 when no user or more than one has it."""
+    known = users.groupBy(F.upper("login").alias("_login")).agg(F.max("id_utilisateur").alias("_id"), F.count(F.lit(1)).alias("_n"))
+    known = known.where(F.col("_n") == 1).drop("_n")
     joined = rows.join(known, F.upper(F.col(login)) == F.col("_login"), "left")
     return joined.withColumn("id_utilisateur", F.coalesce("_id", F.lit(0))).drop("_login", "_id")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cardloom.functions.clean import moment
 from cardloom.functions.exact import rate_pct
 from cardloom.operators.datamarts import CARD_METRICS
+from cardloom.schemas import GENDERS, USE_CHIP_VALUES
 
 # Lower edges of the age classes; 130 and above is "unknown".
 AGE_EDGES = (0, 25, 35, 45, 55, 65, 130)
@@ -188,57 +189,52 @@ def age_classes(docs: DataFrame) -> DataFrame:
 def fraud_stats(docs: DataFrame) -> DataFrame:
     """One row: totals, global rate and two maps.
 
-    Counted first per (gender, payment type). The contract allows three values
-    of each, so what is gathered for the maps is a handful of rows.
+    The maps count frauds for the values of the contract and ``Unknown`` (null or
+    empty); all values outside it are counted together as ``Hors contrat``. Keys
+    without frauds are left out. ``fraud_facets`` gives every value, as rows.
     """
     fraud = F.coalesce(F.col("fraude.is_fraud"), F.lit(False))
-    cells = docs.groupBy(
-        known(F.col("client.gender")).alias("g"), known(F.col("use_chip")).alias("p")
-    ).agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(fraud, 1).otherwise(0)).alias("f"))
-    gathered = cells.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_transactions"),
-        F.coalesce(F.sum("f"), F.lit(0)).alias("nb_fraudes"),
-        F.collect_list(F.when(F.col("f") > 0, F.struct("g", "p", "f"))).alias("_cells"),
+    facets = {"par_genre": (F.col("client.gender"), GENDERS), "par_type_paiement": (F.col("use_chip"), USE_CHIP_VALUES)}
+    maps = []
+    for name, (value, allowed) in facets.items():
+        key = F.when(known(value).isin(*allowed, "Unknown"), known(value)).otherwise("Hors contrat")
+        counts = [x for k in sorted([*allowed, "Unknown", "Hors contrat"]) for x in (F.lit(k), F.count_if(fraud & (key == k)))]
+        maps.append(F.map_filter(F.create_map(*counts), lambda _, n: n > 0).alias(name))
+    totals = docs.agg(F.count(F.lit(1)).alias("total_transactions"), F.count_if(fraud).alias("nb_fraudes"), *maps)
+    rate = rate_pct(F.col("nb_fraudes"), F.col("total_transactions"))
+    return totals.select(
+        "total_transactions", "nb_fraudes", F.coalesce(rate, F.lit(0).cast("decimal(9,4)")).alias("taux_global_pct"), *facets,
     )
-    return gathered.select(
-        "total_transactions",
-        "nb_fraudes",
-        F.coalesce(
-            rate_pct(F.col("nb_fraudes"), F.col("total_transactions")), F.lit(0).cast("decimal(9,4)")
-        ).alias("taux_global_pct"),
-        _counts_by("_cells", "g").alias("par_genre"),
-        _counts_by("_cells", "p").alias("par_type_paiement"),
-    )
-
-
-def _counts_by(cells: str, facet: str) -> Column:
-    keys = F.array_sort(F.array_distinct(F.transform(cells, lambda c: c[facet])))
-    count = lambda k: F.aggregate(
-        F.filter(cells, lambda c: c[facet] == k), F.lit(0).cast("bigint"), lambda acc, c: acc + c["f"]
-    )
-    return F.map_from_arrays(keys, F.transform(keys, count))
 
 
 def collection_report(docs: DataFrame) -> DataFrame:
-    """One row: documents, frauds, share of frauds (3 digits), distinct cards, clients, merchants."""
-    return docs.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.coalesce(F.col("fraude.is_fraud"), F.lit(False))).alias("fraudes"),
-        F.countDistinct("carte.id_carte").alias("cartes"),
-        F.countDistinct("client.id_client").alias("clients"),
-        F.countDistinct("marchand.id_marchand").alias("marchands"),
-    ).select(
-        "total",
-        "fraudes",
-        F.coalesce(
-            F.call_function("div", F.col("fraudes") * 200000 + F.col("total"), F.nullif(F.col("total") * 2, F.lit(0)))
-            .cast("decimal(18,0)") / 1000,
-            F.lit(0),
-        ).cast("decimal(9,3)").alias("pct"),
-        "cartes",
-        "clients",
-        "marchands",
+    """One row: documents, frauds, share of frauds (3 digits), distinct cards, clients, merchants.
+
+    Rows are grouped once by card and client and once by merchant; the distinct
+    numbers are counts of these groups.
+    """
+    held = docs.groupBy("carte.id_carte", "client.id_client").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(F.col("fraude.is_fraud"), F.lit(False))).alias("f")
     )
+    by_card = held.groupBy("id_carte").agg(F.sum("n").alias("n"), F.sum("f").alias("f"))
+    none = F.lit(0).cast("bigint")
+    parts = [
+        by_card.agg(F.sum("n").alias("total"), F.sum("f").alias("fraudes"), F.count("id_carte").alias("cartes"), none.alias("clients"), none.alias("marchands")),
+        held.select("id_client").distinct().agg(none.alias("total"), none.alias("fraudes"), none.alias("cartes"), F.count("id_client").alias("clients"), none.alias("marchands")),
+        docs.select("marchand.id_marchand").distinct().agg(none.alias("total"), none.alias("fraudes"), none.alias("cartes"), none.alias("clients"), F.count("id_marchand").alias("marchands")),
+    ]
+    names = ("total", "fraudes", "cartes", "clients", "marchands")
+    whole = reduce(DataFrame.unionByName, parts).agg(*[F.coalesce(F.sum(c), none).alias(c) for c in names])
+    share = F.call_function("div", F.col("fraudes") * 200000 + F.col("total"), F.nullif(F.col("total") * 2, F.lit(0)))
+    pct = F.coalesce(share.cast("decimal(18,0)") / 1000, F.lit(0)).cast("decimal(9,3)")
+    return whole.select("total", "fraudes", pct.alias("pct"), "cartes", "clients", "marchands")
+
+
+def class_shares(labels: DataFrame, label: str = "is_fraud") -> DataFrame:
+    """Rows and percentage (4 digits) of each class, against the one-row total."""
+    counts = labels.groupBy(label).agg(F.count(F.lit(1)).alias("nb"))
+    total = labels.agg(F.count(F.lit(1)).alias("_all"))
+    return counts.join(total).select(label, "nb", rate_pct(F.col("nb"), F.col("_all")).alias("pct"))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,23 +1,25 @@
 """The card-fraud model over the order/customer tables of the test data.
 
-``lineitem`` carries several rows per (order, line). The transaction table keeps
-one per id, the smallest by the columns the model uses. The pick is a ``min``
-over a struct, so each map task sends at most one row per id into the shuffle,
-however often an id is repeated. The result is hash-partitioned by
-``id_transaction``; the label table is the same aggregate, so joining the two
-reuses that one exchange.
+``lineitem`` carries several different rows per (order, line). All are kept: the
+rows of a pair are numbered in the order of their other columns, and the number
+is part of the transaction id. A query that does not use the id loses the
+numbering by column pruning, and its filters reach the scan.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardloom.functions.exact import MONEY
 
 
+# An id has room for so many rows of one (order, line).
+ROWS_PER_LINE = 1000
+
+
 def money_text(x: Column) -> Column:
     return F.concat(F.lit("$"), x.cast(MONEY).cast("string"))
 
@@ -34,34 +36,28 @@ class Binding:
 
     @cached_property
     def lines(self) -> DataFrame:
-        kept = F.min(
-            F.struct(
-                "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-                "l_returnflag", "l_linestatus", "l_shipdate",
-            )
-        )
-        key = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        # Key and card are required. Said here, the filters that joins on them
-        # derive for one side are already on both, and the exchange is shared.
-        return (
-            self.given("lineitem")
-            .where(key.isNotNull() & F.call_function("div", key, F.lit(10)).isNotNull())
-            .groupBy(key.alias("id_transaction"))
-            .agg(kept.alias("line"))
-            .select("id_transaction", "line.*")
+        pair = ["l_orderkey", "l_linenumber"]
+        rest = [
+            "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate",
+        ]
+        number = F.row_number().over(Window.partitionBy(*pair).orderBy(*rest))
+        key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * ROWS_PER_LINE + number - 1
+        too_many = F.raise_error(F.lit(f"a line has more than {ROWS_PER_LINE} rows")).cast("bigint")
+        return self.given("lineitem").select(
+            *pair, *rest, F.when(number > ROWS_PER_LINE, too_many).otherwise(key).alias("id_transaction")
         )
 
     @cached_property
     def transaction(self) -> DataFrame:
-        line_no = F.col("id_transaction") % 10
         return self.lines.select(
             "id_transaction",
-            F.expr("id_transaction div 10").alias("id_carte"),
+            F.col("l_orderkey").alias("id_carte"),
             F.col("l_suppkey").alias("id_marchand"),
             F.col("l_shipdate").cast("timestamp").alias("date_transaction"),
             F.col("l_extendedprice").cast(MONEY).alias("amount"),
             F.when(F.col("l_linestatus") == "O", "Online Transaction")
-            .when(line_no % 2 == 1, "Chip Transaction")
+            .when(F.col("l_linenumber") % 2 == 1, "Chip Transaction")
             .otherwise("Swipe Transaction")
             .alias("use_chip"),
             F.col("l_shipdate").cast("date").alias("situation_date"),

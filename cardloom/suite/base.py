@@ -118,21 +118,20 @@ def time_sql(t: str) -> str:
 FRAUDS_SQL = "CAST(sum(CASE WHEN is_fraud = 'Y' THEN 1 ELSE 0 END) AS BIGINT)"
 
 MODEL_SQL = """
-WITH li AS (
-  SELECT l_orderkey * 10 + l_linenumber AS id_transaction, l_suppkey, l_quantity, l_extendedprice,
-         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,
-         row_number() OVER (
-           PARTITION BY l_orderkey * 10 + l_linenumber
+WITH ln AS (
+  SELECT (l_orderkey * 10 + l_linenumber) * 1000 + row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber
            ORDER BY l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST,
                     l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST,
-                    l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS rn
+                    l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) - 1 AS id_transaction,
+         l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
   FROM lineitem),
-ln AS (SELECT * FROM li WHERE rn = 1),
 tx AS (
-  SELECT id_transaction, id_transaction // 10 AS id_carte, l_suppkey AS id_marchand,
+  SELECT id_transaction, l_orderkey AS id_carte, l_suppkey AS id_marchand,
          l_shipdate AS date_transaction, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
          CASE WHEN l_linestatus = 'O' THEN 'Online Transaction'
-              WHEN id_transaction % 2 = 1 THEN 'Chip Transaction'
+              WHEN l_linenumber % 2 = 1 THEN 'Chip Transaction'
               ELSE 'Swipe Transaction' END AS use_chip,
          CAST(l_shipdate AS DATE) AS situation_date
   FROM ln),

@@ -136,11 +136,11 @@ def client_sorted_documents(m: Model):
 
 
 @query("find_stored_transaction", f"""
-SELECT id_transaction, id_carte, id_client, code_mcc, {money_sql('cents')} AS amount FROM flat WHERE id_transaction = 13""")
+SELECT id_transaction, id_carte, id_client, code_mcc, {money_sql('cents')} AS amount FROM flat WHERE id_transaction = 13000""")
 def find_stored_transaction(m: Model):
     """Point lookup in documents clustered by id: one file's row group is read."""
     path = landing.once(m, "by_id", lambda p: tables.write_clustered(m.docs, p, "id_transaction"))
-    found = listing.find_transaction(tables.read_documents(m.spark, path), 13)
+    found = listing.find_transaction(tables.read_documents(m.spark, path), 13000)
     return enrich.flatten(found).select("id_transaction", "id_carte", "id_client", "code_mcc", "amount")
 
 

@@ -47,7 +47,7 @@ def category_datamart(m: Model):
 @query("category_datamart_salted", _CATEGORY_SQL)
 def category_datamart_salted(m: Model):
     """Same result by the salted join, used when adaptive skew join is off."""
-    by_card = datamarts.category_cards(m.transaction, m.marchand, salted=True, rows_per_slice=100)
+    by_card = datamarts.category_cards(m.transaction, m.marchand, salted=True)
     return datamarts.category_totals(by_card, m.mcc)
 
 
@@ -166,6 +166,19 @@ def category_label(m: Model):
     return indicators.category_label(rows, m.mcc)
 
 
+@query("repeated_logins", """
+WITH more AS (SELECT id_utilisateur, login FROM utilisateur
+              UNION ALL SELECT id_utilisateur + 100000, upper(login) FROM utilisateur WHERE id_utilisateur % 4 = 0),
+one AS (SELECT upper(login) AS l, max(id_utilisateur) AS id FROM more GROUP BY 1 HAVING count(*) = 1)
+SELECT u.login, coalesce(one.id, 0) AS id_utilisateur FROM utilisateur u LEFT JOIN one ON upper(u.login) = one.l
+""".replace("WITH more", ", more", 1))
+def repeated_logins(m: Model):
+    """Every fourth login belongs to two users and so to none."""
+    u = m.utilisateur_si.select("id_utilisateur", "login")
+    again = u.where(F.col("id_utilisateur") % 4 == 0).select((F.col("id_utilisateur") + 100000).cast("int").alias("id_utilisateur"), F.upper("login").alias("login"))
+    return indicators.user_ids(u.select("login"), u.unionByName(again)).select("login", "id_utilisateur")
+
+
 @query("user_ids", """
 SELECT c.id_client, 'USER_' || CAST(c.id_client AS VARCHAR) AS login,
        coalesce(u.id_utilisateur, 0) AS id_utilisateur
@@ -257,9 +270,9 @@ def card_transactions(m: Model):
     return _items(m.docs.where(listing.transaction_filter(id_carte=1)))
 
 
-@query("find_transaction", f"SELECT {_ITEM_SQL} FROM flat WHERE id_transaction = 13")
+@query("find_transaction", f"SELECT {_ITEM_SQL} FROM flat WHERE id_transaction = 13000")
 def find_transaction(m: Model):
-    return _items(listing.find_transaction(m.docs, 13))
+    return _items(listing.find_transaction(m.docs, 13000))
 
 
 @query("one_fraud", f"SELECT {_ITEM_SQL} FROM flat WHERE is_fraud = 'Y' ORDER BY id_transaction LIMIT 1")
@@ -277,10 +290,10 @@ def transactions_page(m: Model):
 
 @query("transactions_page_keyset", f"""
 SELECT {_ITEM_SQL} FROM flat
-WHERE date_transaction < TIMESTAMP '2000-01-15' OR (date_transaction = TIMESTAMP '2000-01-15' AND id_transaction > 5000)
+WHERE date_transaction < TIMESTAMP '2000-01-15' OR (date_transaction = TIMESTAMP '2000-01-15' AND id_transaction > 5000000)
 ORDER BY flat.date_transaction DESC, id_transaction LIMIT 50""")
 def transactions_page_keyset(m: Model):
-    return _items(listing.page_after(m.docs, F.lit(True), datetime(2000, 1, 15), 5000, 50))
+    return _items(listing.page_after(m.docs, F.lit(True), datetime(2000, 1, 15), 5000000, 50))
 
 
 @query("transactions_total", "SELECT count(*) AS total FROM flat WHERE date_transaction <= TIMESTAMP '2000-06-30'")
@@ -380,9 +393,10 @@ def collection_report(m: Model):
 
 
 @query("class_distribution", f"""
-SELECT is_fraud, count(*) AS nb FROM label GROUP BY is_fraud""")
+SELECT is_fraud, count(*) AS nb, {rate_sql('count(*)', '(SELECT count(*) FROM label)')} AS pct
+FROM label GROUP BY is_fraud""")
 def class_distribution(m: Model):
-    return listing.count_by(m.label_fraude, "is_fraud")
+    return listing.class_shares(m.label_fraude)
 
 
 _ERRORS_SQL = """(
@@ -422,7 +436,10 @@ def repeated_lines(m: Model):
 @query("unique_transactions", f"""
 SELECT id_transaction, id_carte, id_marchand, {money_sql('cents')} AS amount, use_chip FROM tx""")
 def unique_transactions(m: Model):
-    return m.transaction.select("id_transaction", "id_carte", "id_marchand", "amount", "use_chip")
+    """One row per id, from a table in which every seventh id comes twice."""
+    again = m.transaction.where(F.col("id_transaction") % 7 == 0)
+    rows = derive.unique_rows(m.transaction.unionByName(again), "id_transaction")
+    return rows.select("id_transaction", "id_carte", "id_marchand", "amount", "use_chip")
 
 
 def _core_tables(m: Model):
@@ -481,19 +498,12 @@ UNION ALL SELECT 'orphelin', 'transaction', 'id_marchand', (SELECT count(*) FROM
 UNION ALL SELECT 'orphelin', 'label_fraude', 'id_transaction', (SELECT count(*) FROM label WHERE id_transaction NOT IN (SELECT id_transaction FROM tx))
 UNION ALL SELECT 'doublon', 'mcc', 'code_mcc', (SELECT count(*) - count(DISTINCT code_mcc) FROM mcc)
 UNION ALL SELECT 'doublon', 'marchand', 'id_marchand', (SELECT count(*) - count(DISTINCT id_marchand) FROM marchand)
-UNION ALL SELECT 'doublon', 'transaction', 'id_transaction', (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM tx)
+UNION ALL SELECT 'doublon', 'transaction', 'id_transaction', (SELECT count(*) FROM tx WHERE id_transaction % 50 = 0)
 UNION ALL SELECT 'doublon', 'label_fraude', 'id_transaction', (SELECT count(*) - count(DISTINCT id_transaction) FROM label)""")
 def quality_suite(m: Model):
-    """Whole report; the transaction table is taken before its rows are made unique."""
-    raw = m.given("lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_transaction"),
-        F.col("l_orderkey").alias("id_carte"),
-        F.col("l_suppkey").alias("id_marchand"),
-        F.col("l_shipdate").alias("date_transaction"),
-        F.col("l_extendedprice").alias("amount"),
-        F.lit(None).cast("string").alias("use_chip"),
-        F.col("l_shipdate").alias("situation_date"),
-    )
+    """Whole report, over a transaction table in which every 50th id comes twice and no payment type is known."""
+    again = m.transaction.where(F.col("id_transaction") % 50 == 0)
+    raw = m.transaction.unionByName(again).withColumn("use_chip", F.lit(None).cast("string"))
     return quality.suite(
         {"mcc": m.mcc, "marchand": m.marchand, "transaction": raw, "label_fraude": m.label_fraude}
     )
