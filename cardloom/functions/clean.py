@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 # Accepted spellings of "yes".
 YES_WORDS = ("YES", "Y", "TRUE", "1")
 
-# Field texts that the raw CSV files use for "missing".
-MISSING_WORDS = ("", "nan", "NaN", "NA", "N/A", "NULL", "null", "None")
+# Field texts that the usual CSV readers take for "missing".
+MISSING_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def text(x: Column) -> Column:

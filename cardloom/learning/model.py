@@ -6,12 +6,11 @@ import json
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ HYPERPARAMETERS = {
     "class_weight": "balanced", "random_state": SEED,
 }
 HASH_BITS = 20
-SMALL_TABLE = 10_000_000
+ROWS_PER_PART = 1_000_000
 
 
 def split(rows: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -115,41 +114,51 @@ def encoder(train: DataFrame) -> list:
     return [indexer, coder, numbers, scaler, joined]
 
 
-def _spread(rows: DataFrame, n: int) -> DataFrame:
-    """A small table may lie in one file; it is spread over all cores, as it is
-    passed over many times. A large one has more files than cores and stays as it is."""
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism) if n < SMALL_TABLE else rows
-
-
-def _ready(train: DataFrame, stages: list) -> DataFrame:
-    """Encoded and weighted rows."""
-    counts = class_counts(train)
-    ready = balanced(PipelineModel(stages).transform(train), counts).select("features", "label", "weight")
-    return _spread(ready, sum(counts.values()))
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt by a hash of themselves into a number of parts that follows from
+    their number, in a fixed order within each part. Trees draw their rows by
+    part, so the same rows give the same forest on any number of cores."""
+    parts = max(8, -(-rows.count() // ROWS_PER_PART))
+    by = [c for c in ("id_transaction", *FEATURES) if c in rows.columns]
+    return rows.repartition(parts, *by).sortWithinPartitions(*by)
 
 
 def fit(train: DataFrame, classifier=None) -> PipelineModel:
     """Encoder and classifier fitted on the training rows, classes balanced."""
+    train = _dealt(train)
     stages = encoder(train)
-    ready = _ready(train, stages).persist()
-    fitted = (classifier or forest()).fit(ready)
-    ready.unpersist()
+    weighted = balanced(train, class_counts(train))
+    ready = PipelineModel(stages).transform(weighted).select("features", "label", "weight").persist()
+    try:
+        fitted = (classifier or forest()).fit(ready)
+    finally:
+        ready.unpersist()
     return PipelineModel([*stages, fitted])
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, Any]:
-    """ROC-AUC, precision, recall, F1 (0 when undefined), confusion matrix, counts."""
-    scored = model.transform(test).select("label", "prediction", "rawPrediction").persist()
-    cells = {
-        (r["label"], int(r["prediction"])): r["n"]
-        for r in scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
+    """Metrics of a model on test rows."""
+    return evaluate_scores(model.transform(test).select("label", "prediction", "rawPrediction"))
+
+
+def evaluate_scores(rows: DataFrame) -> dict[str, Any]:
+    """ROC-AUC and PR-AUC over every distinct score, precision, recall, F1 (0 when
+    undefined), confusion matrix, counts, from (label, prediction, rawPrediction);
+    rawPrediction is a score or a vector of them."""
+    scored = rows.persist()
+    try:
+        cells = {
+            (r["label"], int(r["prediction"])): r["n"]
+            for r in scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
+        }
+        # 0 bins: the curves are not thinned out
+        area = lambda metric: BinaryClassificationEvaluator(labelCol="label", metricName=metric, numBins=0).evaluate(scored)
+        areas = {"roc_auc": area("areaUnderROC"), "pr_auc": area("areaUnderPR")}
+    finally:
+        scored.unpersist()
     tn, fp, fn, tp = (cells.get(c, 0) for c in ((0, 0), (0, 1), (1, 0), (1, 1)))
     precision = tp / (tp + fp) if tp + fp else 0.0
     recall = tp / (tp + fn) if tp + fn else 0.0
-    area = lambda metric: BinaryClassificationEvaluator(labelCol="label", metricName=metric).evaluate(scored)
-    areas = {"roc_auc": area("areaUnderROC"), "pr_auc": area("areaUnderPR")}
-    scored.unpersist()
     return {
         **areas,
         "precision_fraud": precision,
@@ -170,7 +179,7 @@ def train_and_evaluate(rows: DataFrame, classifier=None) -> tuple[PipelineModel,
         raise ValueError(f"at least {MIN_ROWS} labelled rows are needed, not {n}")
     train, test = split(rows)
     model = fit(train, classifier)
-    return model, evaluate(model, _spread(test, n))
+    return model, evaluate(model, test)
 
 
 def save(model: PipelineModel, metrics: dict[str, Any], folder: str) -> None:
@@ -222,15 +231,35 @@ def score(model: PipelineModel, requests: DataFrame, *keep: str, at: Column | No
     )
 
 
-def cross_validate(rows: DataFrame, trees: list[int], depths: list[int], folds: int = 3) -> CrossValidatorModel:
-    """Grid search on the area under the precision-recall curve."""
-    ready = _ready(rows, encoder(rows))
-    learner = forest()
-    grid = ParamGridBuilder().addGrid(learner.numTrees, trees).addGrid(learner.maxDepth, depths).build()
-    return CrossValidator(
-        estimator=Pipeline(stages=[learner]), estimatorParamMaps=grid, numFolds=folds, seed=SEED, parallelism=2,
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR"),
-    ).fit(ready)
+def given_logistic(spark: SparkSession, weights: dict[str, float], intercept: float) -> PipelineModel:
+    """Logistic model with given weights of the numeric features, in the form that ``score`` takes."""
+    linear = " + ".join([repr(intercept), *(f"{w!r} * {name}" for name, w in weights.items())])
+    p = f"1 / (1 + exp(-({linear})))"
+    probability = SQLTransformer(statement=f"SELECT *, {p} AS _p FROM __THIS__")
+    vector = SQLTransformer(statement="SELECT *, 1 - _p AS _q, IF(_p > 0.5, 1.0D, 0.0D) AS prediction FROM __THIS__")
+    return PipelineModel([probability, vector, VectorAssembler(inputCols=["_q", "_p"], outputCol="probability")])
+
+
+def fold_of(folds: int) -> Column:
+    """Fold of a row, by a hash of its id."""
+    return F.pmod(F.xxhash64("id_transaction", F.lit(SEED)), F.lit(folds)).cast("int")
+
+
+def cross_validate(rows: DataFrame, trees: list[int], depths: list[int], folds: int = 3) -> list[dict[str, Any]]:
+    """Mean area under the precision-recall curve per setting, over the folds.
+
+    Encoder, scaling and class weights are fitted on the rows outside the fold
+    only. ``rows`` is read once per fold and setting: pass a stored table.
+    """
+    found = []
+    for n in trees:
+        for depth in depths:
+            areas = [
+                evaluate(fit(rows.where(fold_of(folds) != k), forest(n, depth)), rows.where(fold_of(folds) == k))["pr_auc"]
+                for k in range(folds)
+            ]
+            found.append({"numTrees": n, "maxDepth": depth, "pr_auc": sum(areas) / folds})
+    return found
 
 
 def compare(rows: DataFrame, trees: int = HYPERPARAMETERS["n_estimators"]) -> dict[str, dict[str, Any]]:
@@ -242,5 +271,4 @@ def compare(rows: DataFrame, trees: int = HYPERPARAMETERS["n_estimators"]) -> di
         "GBTClassifier": GBTClassifier(maxIter=20, maxDepth=5, maxBins=64, seed=SEED, **columns),
     }
     train, test = split(rows)
-    test = _spread(test, sum(class_counts(rows).values()))
     return {name: evaluate(fit(train, learner), test) for name, learner in learners.items()}

@@ -82,7 +82,7 @@ def stamped(rows: DataFrame, user_id: Column, at: Column, ip: Column | None = No
     two share a key with a chance of about one in twenty; table, row, operation
     and time together are always unique.)"""
     return rows.select(
-        F.abs(F.xxhash64("table_concernee", "id_ligne_concernee", "operation", at)).alias("id_audit"),
+        F.xxhash64("table_concernee", "id_ligne_concernee", "operation", at).bitwiseAND(F.lit((1 << 63) - 1)).alias("id_audit"),
         user_id.cast("int").alias("id_utilisateur"),
         "table_concernee",
         "id_ligne_concernee",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.operators.derive import repeated_keys
-from cardloom.schemas import GENDERS, OPERATIONS, ROLES, USE_CHIP_VALUES
+from cardloom.schemas import GENDERS, OPERATIONS, ROLES, SECRET_COLUMNS, USE_CHIP_VALUES
 
 RETENTION_DAYS = 730
 
@@ -41,12 +41,12 @@ def _all_rules() -> dict[str, dict[str, Column]]:
     return {
         "mcc": {**_required("code_mcc", "libelle_mcc"), "code 0..9999": _c("code_mcc").between(0, 9999)},
         "utilisateur_si": {
-            **_required("id_utilisateur", "login", "nom_complet", "email"),
+            **_required("id_utilisateur", "login", "nom_complet", "email", "role", "actif"),
             "role known": _c("role").isin(*ROLES),
             "actif Y/N": _c("actif").isin(*yn),
         },
         "client": {
-            **_required("id_client", "num_credit_cards"),
+            **_required("id_client", "num_credit_cards", "current_age", "birth_year"),
             "current_age 1..129": _c("current_age").between(1, 129),
             "retirement_age 1..129": _null_or("retirement_age", _c("retirement_age").between(1, 129)),
             "birth_year from 1900": _c("birth_year") >= 1900,
@@ -59,7 +59,10 @@ def _all_rules() -> dict[str, dict[str, Column]]:
         },
         "marchand": _required("id_marchand", "code_mcc"),
         "carte": {
-            **_required("id_carte", "id_client", "card_brand", "card_type", "expires", "acct_open_date"),
+            **_required(
+                "id_carte", "id_client", "card_brand", "card_type", "expires", "acct_open_date", "has_chip",
+                "card_on_dark_web", "card_number_enc", "cvv_enc",
+            ),
             "has_chip Y/N": _c("has_chip").isin(*yn),
             "card_on_dark_web Y/N": _c("card_on_dark_web").isin(*yn),
             "credit_limit from 0": _null_or("credit_limit", _c("credit_limit") >= 0),
@@ -72,10 +75,10 @@ def _all_rules() -> dict[str, dict[str, Column]]:
             ),
             "use_chip known": _null_or("use_chip", _c("use_chip").isin(*USE_CHIP_VALUES)),
         },
-        "label_fraude": {**_required("id_transaction"), "is_fraud Y/N": _c("is_fraud").isin(*yn)},
+        "label_fraude": {**_required("id_transaction", "is_fraud"), "is_fraud Y/N": _c("is_fraud").isin(*yn)},
         "erreur_transaction": _required("id_erreur", "id_transaction", "code_erreur"),
         "journal_audit": {
-            **_required("id_audit", "id_utilisateur", "table_concernee", "id_ligne_concernee"),
+            **_required("id_audit", "id_utilisateur", "table_concernee", "id_ligne_concernee", "operation"),
             "operation known": _c("operation").isin(*OPERATIONS),
         },
     }
@@ -85,9 +88,11 @@ def check_rules(df: DataFrame, table: str) -> DataFrame:
     """(table, regle, violations, lignes), all rules counted in one pass.
 
     A rule that is NULL for a row counts as a violation for a required column
-    only; ``count_if(not rule)`` leaves NULL out, as a CHECK does.
+    only; ``count_if(not rule)`` leaves NULL out, as a CHECK does. The rules of
+    encrypted columns are left out where a table is kept without them.
     """
-    rules = rules_for(table)
+    without = [f"{c} not null" for c in SECRET_COLUMNS if c not in df.columns]
+    rules = {name: rule for name, rule in rules_for(table).items() if name not in without}
     counted = df.agg(
         F.count(F.lit(1)).alias("lignes"),
         *[F.count_if(~rule).alias(f"r{i}") for i, rule in enumerate(rules.values())],
@@ -108,6 +113,7 @@ FOREIGN_KEYS = (
     ("transaction", "id_marchand", "marchand", "id_marchand"),
     ("label_fraude", "id_transaction", "transaction", "id_transaction"),
     ("erreur_transaction", "id_transaction", "transaction", "id_transaction"),
+    ("journal_audit", "id_utilisateur", "utilisateur_si", "id_utilisateur"),
 )
 
 
@@ -131,6 +137,9 @@ def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
         for child, key, parent, parent_key in FOREIGN_KEYS
         if child in tables and parent in tables
     ]
+    if not parts:
+        some = next(iter(tables.values()))
+        return some.limit(0).select(F.lit("").alias("nom_table"), F.lit("").alias("cle"), F.lit(0).cast("bigint").alias("orphelins"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -143,16 +152,20 @@ PRIMARY_KEYS = {
     "transaction": "id_transaction",
     "label_fraude": "id_transaction",
     "erreur_transaction": "id_erreur",
+    "journal_audit": "id_audit",
 }
+# Columns besides the primary key that may not repeat.
+UNIQUE_COLUMNS = {"utilisateur_si": ("login", "email")}
 
 
 def uniqueness_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """(nom_table, cle, doublons): rows beyond the first per primary key."""
+    """(nom_table, cle, doublons): rows beyond the first per primary key and per other unique column."""
     parts = [
-        repeated_keys(df, PRIMARY_KEYS[name])
+        repeated_keys(df.where(F.col(key).isNotNull()) if key != PRIMARY_KEYS[name] else df, key)
         .agg(F.coalesce(F.sum(F.col("nb") - 1), F.lit(0)).alias("doublons"))
-        .select(F.lit(name).alias("nom_table"), F.lit(PRIMARY_KEYS[name]).alias("cle"), "doublons")
+        .select(F.lit(name).alias("nom_table"), F.lit(key).alias("cle"), "doublons")
         for name, df in tables.items()
+        for key in (PRIMARY_KEYS[name], *UNIQUE_COLUMNS.get(name, ()))
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -17,7 +17,7 @@ def _runtime_split(df: DataFrame) -> bool:
     )
 
 
-def _planned_bytes(df: DataFrame) -> int:
+def planned_bytes(df: DataFrame) -> int:
     """Size by Spark's own estimate: of files, the bytes on disk after pruning."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
@@ -30,7 +30,7 @@ def _threshold(df: DataFrame) -> int:
 def fits_broadcast(*inputs: DataFrame) -> bool:
     """Whether the inputs together are below Spark's broadcast threshold."""
     limit = _threshold(inputs[0])
-    return limit > 0 and sum(_planned_bytes(df) for df in inputs) <= limit
+    return limit > 0 and sum(planned_bytes(df) for df in inputs) <= limit
 
 
 def spread_join(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.operators import derive
+from cardloom.session import path_exists
 from cardloom.sources import raw, tables
 
 
@@ -32,13 +33,21 @@ class Load:
     def _raw_transactions(self, columns: list[str] | None = None) -> DataFrame:
         return raw.transactions(self.spark, f"{self.source}/transactions_data.csv", columns)
 
+    def _empty(self, table: str) -> str:
+        """Path of a table without rows: a second load would repeat every key."""
+        path = self.path(table)
+        if path_exists(self.spark, path) and not self.spark.read.parquet(path).isEmpty():
+            raise ValueError(f"{path} has rows already")
+        return path
+
     def _write(self, df: DataFrame, table: str) -> None:
+        path = self._empty(table)
         stamped = tables.typed(df.withColumn("date_creation", F.current_timestamp()), table)
-        tables.append(stamped, self.path(table))
+        tables.append(stamped, path)
 
     def mcc(self) -> None:
         tables.append(
-            tables.typed(raw.mcc_codes(self.spark, f"{self.source}/mcc_codes.json"), "mcc"), self.path("mcc")
+            tables.typed(raw.mcc_codes(self.spark, f"{self.source}/mcc_codes.json"), "mcc"), self._empty("mcc")
         )
 
     def clients(self) -> None:
@@ -54,7 +63,7 @@ class Load:
     def transactions(self) -> None:
         rows = raw.clean_transactions(self._raw_transactions(), self.situation_date)
         stamped = tables.typed(rows.withColumn("date_creation", F.current_timestamp()), "transaction")
-        tables.write_monthly(stamped, self.path("transaction"))
+        tables.write_monthly(stamped, self._empty("transaction"))
 
     def labels(self) -> None:
         self._write(raw.fraud_labels(self.spark, f"{self.source}/train_fraud_labels.json"), "label_fraude")

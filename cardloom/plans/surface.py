@@ -18,7 +18,7 @@ FUNCTIONS = (
     RETURN coalesce((SELECT max(libelle_mcc) FROM mcc WHERE code_mcc = p_code_mcc),
       concat('MCC inconnu (', p_code_mcc, ')'))""",
     """CREATE OR REPLACE TEMPORARY FUNCTION fn_get_user_id(p_login STRING) RETURNS INT
-    RETURN SELECT coalesce(max(id_utilisateur), 0) FROM utilisateur_si WHERE upper(login) = upper(p_login)""",
+    RETURN SELECT if(count(*) = 1, max(id_utilisateur), 0) FROM utilisateur_si WHERE upper(login) = upper(p_login)""",
     """CREATE OR REPLACE TEMPORARY FUNCTION fn_transactions_client(p_id_client BIGINT)
     RETURNS TABLE(id_transaction BIGINT, date_transaction TIMESTAMP, amount DECIMAL(12,2), is_fraud STRING)
     RETURN SELECT id_transaction, date_transaction, amount, is_fraud FROM v_transactions_enrichies

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or _checkpoint_dir(spark)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cardloom-"))
         folder = _checkpoint_dir(spark)
@@ -59,9 +60,20 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
     return found.get() if found.isDefined() else None
 
 
+_own_folders: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New path for one run below the shared folder."""
-    return f"{shared_dir(spark)}/cardloom/{name}-{uuid.uuid4().hex}"
+    """New path for one run, below the session's own part of the shared folder.
+    That part is deleted when the driver ends."""
+    own = f"{shared_dir(spark)}/cardloom/{spark.sparkContext.applicationId}"
+    if own not in _own_folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _own_folders.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

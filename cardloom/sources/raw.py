@@ -14,14 +14,14 @@ CORRUPT = "_corrupt_record"
 
 def read_csv(spark: SparkSession, path: str, columns: list[str], keep_corrupt: bool = False) -> DataFrame:
     """Text columns of a headed CSV, taken by name: column order is free and
-    columns not asked for are pruned in the parser."""
+    columns not asked for are pruned in the parser. All files of a folder must
+    have the same header; a file with another one ends the job."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-    if not keep_corrupt:
-        return reader.csv(path).select(*columns)
     names = reader.csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    rows = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
-    return rows.select(*columns, CORRUPT)
+    reader = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT)
+    more = [CORRUPT] if keep_corrupt else []
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *more]])
+    return reader.schema(schema).csv(path).select(*columns, *more)
 
 
 def reject_rate(rows: DataFrame) -> DataFrame:
@@ -60,17 +60,19 @@ def fraud_labels(spark: SparkSession, path: str) -> DataFrame:
     """One JSON object id -> "Yes"/"No" (or true/false, 1/0), bare or below "target".
 
     As a single JSON record the file could not be split. Read with ',' as line
-    separator it can: every record holds at most one entry.
+    separator it can: every record holds at most one entry. Of an id that comes
+    twice the last entry holds, as in any JSON object.
     """
-    entry = spark.read.option("lineSep", ",").text(path)
+    entry = spark.read.option("lineSep", ",").text(path).select(
+        "value", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("place")
+    )
     part = lambda i: F.regexp_extract("value", r'"(\d+)"\s*:\s*"?([^",}]*)', i)
     return (
-        entry.select(part(1).alias("id"), part(2).alias("label"))
+        entry.select(part(1).alias("id"), part(2).alias("label"), "place")
         .where(F.col("id") != "")
-        .select(
-            F.col("id").try_cast("bigint").alias("id_transaction"),
-            clean.yes_no(F.col("label")).alias("is_fraud"),
-        )
+        .groupBy(F.col("id").try_cast("bigint").alias("id_transaction"))
+        .agg(F.max_by("label", "place").alias("label"))
+        .select("id_transaction", clean.yes_no(F.col("label")).alias("is_fraud"))
     )
 
 

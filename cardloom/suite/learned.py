@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.functions.clean import moment
@@ -196,10 +198,63 @@ def model_comparison(m: Model):
 @query("model_cross_validation")
 def model_cross_validation(m: Model):
     found = model.cross_validate(training_table(m), trees=[20, 50], depths=[6, 12], folds=3)
-    results = {
-        json.dumps({p.name: v for p, v in params.items()}, sort_keys=True): {"pr_auc": metric}
-        for params, metric in zip(found.getEstimatorParamMaps(), found.avgMetrics)
-    }
-    return _metric_rows(m, results)
+    return _metric_rows(m, {json.dumps({k: r[k] for k in ("maxDepth", "numTrees")}): {"pr_auc": r["pr_auc"]} for r in found})
+
+
+@query("validation_folds", """
+SELECT f.fold, CAST(2 AS BIGINT) AS parts, CAST(sum(n) AS BIGINT) AS nb
+FROM (SELECT count(*) AS n FROM label JOIN flat USING (id_transaction)) t, (VALUES (0), (1), (2)) f(fold)
+GROUP BY f.fold""")
+def validation_folds(m: Model):
+    """For each fold the rows inside and outside it: together all rows."""
+    rows = training_table(m)
+    parts = [
+        listing.count_by(rows.select(F.lit(k).alias("fold"), (model.fold_of(3) == k).alias("inside")), "fold", "inside")
+        for k in range(3)
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy("fold").agg(F.count(F.lit(1)).alias("parts"), F.sum("nb").alias("nb"))
+
+
+_SCORE_SQL = "CAST(id_transaction % 997 AS DOUBLE)"
+
+
+@query("metrics_of_scores", f"""
+, s AS (SELECT {_SCORE_SQL} AS score, CASE WHEN is_fraud = 'Y' THEN 1 ELSE 0 END AS label FROM label),
+c AS (SELECT score, sum(label) AS p, count(*) - sum(label) AS n FROM s GROUP BY score),
+r AS (SELECT *, sum(p) OVER w - p AS p_above, sum(n) OVER w - n AS n_above, sum(p) OVER w AS p_to, sum(n) OVER w AS n_to,
+             (SELECT sum(label) FROM s) AS all_p, (SELECT count(*) - sum(label) FROM s) AS all_n
+      FROM c WINDOW w AS (ORDER BY score DESC)),
+m AS (SELECT sum(CASE WHEN score >= 900 AND label = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN score >= 900 AND label = 0 THEN 1 ELSE 0 END) AS fp,
+             sum(label) AS pos, count(*) AS n FROM s)
+SELECT (SELECT round(sum(n * (p_above + p / 2.0::DOUBLE)) / any_value(all_p * all_n), 9) FROM r) AS roc_auc,
+       round(tp / (tp + fp)::DOUBLE, 9) AS precision_fraud, round(tp / pos::DOUBLE, 9) AS recall_fraud,
+       round(2.0::DOUBLE * tp / (tp + fp + pos), 9) AS f1_fraud, n AS n_test, CAST(pos AS BIGINT) AS n_fraud_test,
+       CAST(n - pos - fp AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(pos - tp AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp
+FROM m""")
+def metrics_of_scores(m: Model):
+    """The evaluation on a score that follows from the id, so that SQL can tell every figure."""
+    score = (F.col("id_transaction") % 997).cast("double")
+    rows = m.label_fraude.select(
+        F.when(F.col("is_fraud") == "Y", 1).otherwise(0).alias("label"), (score >= 900).cast("double").alias("prediction"), score.alias("rawPrediction")
+    )
+    x = model.evaluate_scores(rows)
+    c = x["confusion_matrix"]
+    row = [round(x[k], 9) for k in ("roc_auc", "precision_fraud", "recall_fraud", "f1_fraud")] + [x["n_test"], x["n_fraud_test"], *c.values()]
+    return m.spark.createDataFrame(
+        [tuple(row)], "roc_auc double, precision_fraud double, recall_fraud double, f1_fraud double, n_test long, n_fraud_test long, tn long, fp long, fn long, tp long"
+    )
 
 
+_GIVEN_SQL = "1 / (1 + exp(-(0.25 * ((id_transaction % 40) - 20))))"
+
+
+@query("scored_by_given_model", f"""
+SELECT id_transaction, {_GIVEN_SQL} > 0.5 AS is_fraud_predicted, round({_GIVEN_SQL}, 4) AS fraud_probability,
+       CASE WHEN {_GIVEN_SQL} < 0.3 THEN 'LOW' WHEN {_GIVEN_SQL} < 0.7 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level
+FROM ev""")
+def scored_by_given_model(m: Model):
+    """Scoring by a logistic model with given weights: amount counts, all else does not."""
+    amount = ((F.col("id_transaction") % 40) - 20).cast("double")
+    requests = m.requests.withColumn("amount", amount)
+    fitted = model.given_logistic(m.spark, {"amount": 0.25}, 0.0)
+    return model.score(fitted, requests, "id_transaction").drop("predicted_at", "features_used", "model_version", "model_type")

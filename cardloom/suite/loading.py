@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import crypto
 from cardloom.operators import datamarts, derive, enrich, listing
+from cardloom.operators.skew import planned_bytes
 from cardloom.plans import lake, marts, surface
 from cardloom.sources import raw, tables
 from cardloom.suite import landing
@@ -17,6 +18,9 @@ from cardloom.suite.base import FRAUDS_SQL, Model, day_sql, mean_sql, money_sql,
 # A fixed key for the round trips below, never one that guards data.
 SAMPLE_KEY = base64.b64encode(bytes(range(32))).decode()
 
+# Source bytes per bucket of a stored table.
+BUCKET_BYTES = 128 << 20
+
 # ---------------------------------------------------------------- raw scans
 
 
@@ -150,7 +154,7 @@ SELECT id_carte, nb_transactions, {money_sql('total')} AS total_amount,
 FROM rates""")
 def bucketed_card_datamart(m: Model):
     """Card datamart from stored tables bucketed by transaction: the label join needs no shuffle."""
-    buckets = m.spark.sparkContext.defaultParallelism
+    buckets = max(4, -(-planned_bytes(m.given("lineitem")) // BUCKET_BYTES))
 
     def write(path: str) -> None:
         for part, df in (("tx", m.transaction), ("label", m.label_fraude)):
@@ -252,6 +256,14 @@ def pseudonymised_clients(m: Model):
 # -------------------------------------------------------------- SQL surface
 
 
+def sql_tables(m: Model) -> None:
+    t = {
+        "transaction": m.transaction, "label_fraude": m.label_fraude, "carte": m.carte, "client": m.client,
+        "marchand": m.marchand, "mcc": m.mcc, "utilisateur_si": m.utilisateur_si,
+    }
+    surface.register(m.spark, t)
+
+
 @query("sql_functions", """
 SELECT c.id_carte, coalesce(CAST(r.rate AS DOUBLE) / 10000, 0) AS taux,
        CASE WHEN coalesce(r.rate, 0) >= 50000 THEN 'Y' ELSE 'N' END AS a_risque,
@@ -260,17 +272,35 @@ SELECT c.id_carte, coalesce(CAST(r.rate AS DOUBLE) / 10000, 0) AS taux,
 FROM carte c LEFT JOIN rates r USING (id_carte)""")
 def sql_functions(m: Model):
     """The SQL functions called for every card; Spark turns each call into a join."""
-    t = {
-        "transaction": m.transaction, "label_fraude": m.label_fraude, "carte": m.carte, "client": m.client,
-        "marchand": m.marchand, "mcc": m.mcc, "utilisateur_si": m.utilisateur_si,
-    }
-    surface.register(m.spark, t)
+    sql_tables(m)
     return m.spark.sql(
         "SELECT id_carte, fn_calc_taux_fraude_carte(id_carte) AS taux, fn_carte_a_risque(id_carte) AS a_risque, "
         "fn_get_libelle_mcc(CAST(id_carte % 40 AS INT)) AS categorie FROM carte"
     )
 
 
+@query("sql_client_functions", """
+SELECT 'transactions' AS fonction, CAST(id_transaction AS VARCHAR) AS cle, CAST(cents AS DOUBLE) / 100 AS valeur FROM flat WHERE id_client = 8
+UNION ALL SELECT 'user', login, CAST(id_utilisateur AS DOUBLE) FROM utilisateur
+UNION ALL SELECT 'user', 'nobody', 0
+UNION ALL SELECT 'risque', CAST(id_client AS VARCHAR), greatest(0, least(100, CAST((scaled + 50 * n) // (100 * n) AS DOUBLE) / 100))
+FROM (SELECT cl.id_client, greatest(count(c.id_carte), 1) AS n,
+             5 * coalesce(sum(coalesce(r.rate, 0)), 0)
+             + (100000 * sum(CASE WHEN c.card_on_dark_web = 'Y' THEN 1 ELSE 0 END)
+                + 1000 * (850 - coalesce(any_value(cl.credit_score), 850))) * greatest(count(c.id_carte), 1) AS scaled
+      FROM client cl LEFT JOIN carte c USING (id_client) LEFT JOIN rates r ON c.id_carte = r.id_carte
+      GROUP BY cl.id_client)""")
+def sql_client_functions(m: Model):
+    """Client risk for every client, user id for every login, the transactions of one client."""
+    sql_tables(m)
+    return m.spark.sql(
+        "SELECT 'transactions' AS fonction, CAST(id_transaction AS STRING) AS cle, CAST(amount AS DOUBLE) AS valeur FROM fn_transactions_client(8) "
+        "UNION ALL SELECT 'user', login, CAST(fn_get_user_id(upper(login)) AS DOUBLE) FROM utilisateur_si "
+        "UNION ALL SELECT 'user', 'nobody', CAST(fn_get_user_id('nobody') AS DOUBLE) "
+        "UNION ALL SELECT 'risque', CAST(id_client AS STRING), CAST(fn_calc_score_risque_client(id_client) AS DOUBLE) FROM client"
+    )
+
+
 # --------------------------------------------------------------------- lake
 
 

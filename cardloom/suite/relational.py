@@ -475,6 +475,7 @@ def idle_cards(m: Model):
 
 @query("table_rules", """
 SELECT * FROM (VALUES ('retirement_age 1..129'), ('num_credit_cards not null'), ('id_client not null'),
+  ('current_age not null'), ('birth_year not null'),
   ('current_age 1..129'), ('birth_year from 1900'), ('birth_month 1..12'), ('gender known'), ('latitude -90..90'),
   ('longitude -180..180'), ('num_credit_cards from 0')) r(regle), (SELECT CAST(0 AS BIGINT) AS violations, count(*) AS lignes FROM client) n
 UNION ALL SELECT 'credit_score 300..850', CAST(count(CASE WHEN credit_score + 100 > 850 THEN 1 END) AS BIGINT), count(*) FROM client""")
@@ -487,6 +488,7 @@ def table_rules(m: Model):
 @query("quality_suite", """
 SELECT 'regle' AS famille, 'label_fraude' AS nom_table, 'is_fraud Y/N' AS regle, CAST(0 AS BIGINT) AS violations
 UNION ALL SELECT 'regle', 'label_fraude', 'id_transaction not null', 0
+UNION ALL SELECT 'regle', 'label_fraude', 'is_fraud not null', 0
 UNION ALL SELECT 'regle', 'mcc', 'code_mcc not null', 0 UNION ALL SELECT 'regle', 'mcc', 'libelle_mcc not null', 0
 UNION ALL SELECT 'regle', 'mcc', 'code 0..9999', 0
 UNION ALL SELECT 'regle', 'marchand', 'id_marchand not null', 0 UNION ALL SELECT 'regle', 'marchand', 'code_mcc not null', 0

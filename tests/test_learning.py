@@ -165,7 +165,7 @@ def test_comparison_and_grid(training):
     assert set(found) == {"LogisticRegression", "RandomForestClassifier", "GBTClassifier"}
     assert all(0 <= m["pr_auc"] <= 1 for m in found.values())
     grid = model.cross_validate(training, trees=[3], depths=[2, 4], folds=2)
-    assert len(grid.avgMetrics) == 2
+    assert [(r["numTrees"], r["maxDepth"]) for r in grid] == [(3, 2), (3, 4)] and all(0 <= r["pr_auc"] <= 1 for r in grid)
 
 
 def test_drift(training):
