@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardloom.plans import marts
 from cardloom.session import scratch_path
+from cardloom.sources import tables
 from cardloom.sources.binding import Binding
 
 _written: dict[tuple[str, str, str], str] = {}
@@ -105,3 +107,22 @@ def parquet(m: Binding, name: str, df: DataFrame) -> DataFrame:
     path = once(m, name, lambda p: df.write.parquet(p))
     spark: SparkSession = m.spark
     return spark.read.parquet(path)
+
+
+def documents(m, by_id: bool = False) -> DataFrame:
+    """Stored documents: laid out for lists of a client, or for lookups by id."""
+    if by_id:
+        path = once(m, "by_id", lambda p: tables.write_clustered(m.docs, p, "id_transaction"))
+    else:
+        path = once(m, "by_client", lambda p: tables.write_clustered(m.docs, p, "client.id_client", newest_first=True))
+    return tables.read_documents(m.spark, path)
+
+
+def gold(m) -> str:
+    """Folder of the three stored datamarts."""
+    t = {"transaction": m.transaction, "label_fraude": m.label_fraude, "marchand": m.marchand, "mcc": m.mcc}
+    return once(m, "gold", lambda p: marts.refresh_all(t, p))
+
+
+def datamart(m, name: str) -> DataFrame:
+    return marts.read(m.spark, gold(m), name)

@@ -132,10 +132,7 @@ def stored_documents(m: Model):
 SELECT id_transaction, {time_sql('date_transaction')} AS date_transaction FROM flat WHERE id_client = 8
 ORDER BY flat.date_transaction DESC, id_transaction LIMIT 5""")
 def client_sorted_documents(m: Model):
-    path = landing.once(
-        m, "by_client", lambda p: tables.write_clustered(m.docs, p, "client.id_client", newest_first=True)
-    )
-    docs = tables.read_documents(m.spark, path)
+    docs = landing.documents(m)
     return listing.page(docs, listing.transaction_filter(id_client=8), 1, 5).select("id_transaction", "date_transaction")
 
 
@@ -143,8 +140,7 @@ def client_sorted_documents(m: Model):
 SELECT id_transaction, id_carte, id_client, code_mcc, {money_sql('cents')} AS amount FROM flat WHERE id_transaction = 13000""")
 def find_stored_transaction(m: Model):
     """Point lookup in documents clustered by id: one file's row group is read."""
-    path = landing.once(m, "by_id", lambda p: tables.write_clustered(m.docs, p, "id_transaction"))
-    found = listing.find_transaction(tables.read_documents(m.spark, path), 13000)
+    found = listing.find_transaction(landing.documents(m, by_id=True), 13000)
     return enrich.flatten(found).select("id_transaction", "id_carte", "id_client", "code_mcc", "amount")
 
 
@@ -165,17 +161,12 @@ def bucketed_card_datamart(m: Model):
     return datamarts.card_datamart(m.spark.table(f"cardloom_tx_{suffix}"), m.spark.table(f"cardloom_label_{suffix}"))
 
 
-def _gold(m: Model) -> str:
-    t = {"transaction": m.transaction, "label_fraude": m.label_fraude, "marchand": m.marchand, "mcc": m.mcc}
-    return landing.once(m, "gold", lambda p: marts.refresh_all(t, p))
-
-
 @query("refreshed_datamarts", """
 SELECT 'card' AS nom_table, count(*) AS nb_lignes FROM mart
 UNION ALL SELECT 'daily', count(DISTINCT situation_date) FROM tl
 UNION ALL SELECT 'category', count(DISTINCT code_mcc) FROM tx JOIN marchand USING (id_marchand)""")
 def refreshed_datamarts(m: Model):
-    gold = _gold(m)
+    gold = landing.gold(m)
     return listing.table_counts({name: marts.read(m.spark, gold, name) for name in marts.ORDER})
 
 
@@ -183,7 +174,7 @@ def refreshed_datamarts(m: Model):
 SELECT id_carte, nb_transactions, nb_fraudes, CAST(rate AS DOUBLE) / 10000 AS taux_fraude_pct
 FROM rates WHERE nb_transactions >= 5 ORDER BY rate DESC, id_carte LIMIT 10""")
 def stored_risky_cards(m: Model):
-    mart = marts.read(m.spark, _gold(m), "card")
+    mart = marts.read(m.spark, landing.gold(m), "card")
     top = listing.ranked_cards(mart, "taux_fraude_pct", limit=10, min_transactions=5)
     return top.select("id_carte", "nb_transactions", "nb_fraudes", "taux_fraude_pct")
 

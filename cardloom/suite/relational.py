@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions.clean import moment
 from cardloom.operators import audit, datamarts, derive, enrich, indicators, listing, quality
+from cardloom.suite import landing
 from cardloom.suite.base import (
     FRAUDS_SQL, Model, day_sql, mean_sql, money_sql, query, rate_sql, time_sql,
 )
@@ -252,32 +253,32 @@ def filtered_transactions(m: Model):
     condition = listing.transaction_filter(
         code_mcc=7, is_fraud=False, date_from=datetime(1996, 1, 1), date_to=datetime(1999, 12, 31)
     )
-    return _items(m.docs.where(condition))
+    return _items(landing.documents(m).where(condition))
 
 
 @query("fraud_transactions", f"SELECT {_ITEM_SQL} FROM flat WHERE is_fraud = 'Y'")
 def fraud_transactions(m: Model):
-    return _items(m.docs.where(listing.transaction_filter(is_fraud=True)))
+    return _items(landing.documents(m).where(listing.transaction_filter(is_fraud=True)))
 
 
 @query("client_transactions", f"SELECT {_ITEM_SQL} FROM flat WHERE id_client = 8")
 def client_transactions(m: Model):
-    return _items(m.docs.where(listing.transaction_filter(id_client=8)))
+    return _items(landing.documents(m).where(listing.transaction_filter(id_client=8)))
 
 
 @query("card_transactions", f"SELECT {_ITEM_SQL} FROM flat WHERE id_carte = 1")
 def card_transactions(m: Model):
-    return _items(m.docs.where(listing.transaction_filter(id_carte=1)))
+    return _items(landing.documents(m).where(listing.transaction_filter(id_carte=1)))
 
 
 @query("find_transaction", f"SELECT {_ITEM_SQL} FROM flat WHERE id_transaction = 13000")
 def find_transaction(m: Model):
-    return _items(listing.find_transaction(m.docs, 13000))
+    return _items(listing.find_transaction(landing.documents(m, by_id=True), 13000))
 
 
 @query("one_fraud", f"SELECT {_ITEM_SQL} FROM flat WHERE is_fraud = 'Y' ORDER BY id_transaction LIMIT 1")
 def one_fraud(m: Model):
-    return _items(listing.one_fraud(m.docs))
+    return _items(listing.one_fraud(landing.documents(m, by_id=True)))
 
 
 @query("transactions_page", f"""
@@ -285,7 +286,7 @@ SELECT {_ITEM_SQL} FROM flat WHERE date_transaction <= TIMESTAMP '2000-06-30'
 ORDER BY flat.date_transaction DESC, id_transaction LIMIT 20 OFFSET 40""")
 def transactions_page(m: Model):
     condition = listing.transaction_filter(date_to=datetime(2000, 6, 30))
-    return _items(listing.page(m.docs, condition, 3, 20))
+    return _items(listing.page(landing.documents(m), condition, 3, 20))
 
 
 @query("transactions_page_keyset", f"""
@@ -293,12 +294,12 @@ SELECT {_ITEM_SQL} FROM flat
 WHERE date_transaction < TIMESTAMP '2000-01-15' OR (date_transaction = TIMESTAMP '2000-01-15' AND id_transaction > 5000000)
 ORDER BY flat.date_transaction DESC, id_transaction LIMIT 50""")
 def transactions_page_keyset(m: Model):
-    return _items(listing.page_after(m.docs, F.lit(True), datetime(2000, 1, 15), 5000000, 50))
+    return _items(listing.page_after(landing.documents(m), F.lit(True), datetime(2000, 1, 15), 5000000, 50))
 
 
 @query("transactions_total", "SELECT count(*) AS total FROM flat WHERE date_transaction <= TIMESTAMP '2000-06-30'")
 def transactions_total(m: Model):
-    return listing.total(m.docs, listing.transaction_filter(date_to=datetime(2000, 6, 30)))
+    return listing.total(landing.documents(m), listing.transaction_filter(date_to=datetime(2000, 6, 30)))
 
 
 @query("latest_per_client", f"""
@@ -307,7 +308,7 @@ SELECT id_client, id_transaction, {time_sql('date_transaction')} AS date_transac
 FROM (SELECT *, row_number() OVER (PARTITION BY id_client ORDER BY date_transaction DESC, id_transaction) AS rang
       FROM flat) WHERE rang <= 5""")
 def latest_per_client(m: Model):
-    return listing.latest_per_client(m.docs)
+    return listing.latest_per_client(landing.documents(m))
 
 
 _MART_SQL = f"""id_carte, nb_transactions, {money_sql('total')} AS total_amount,
@@ -316,26 +317,26 @@ _MART_SQL = f"""id_carte, nb_transactions, {money_sql('total')} AS total_amount,
 
 @query("top_cards", f"SELECT {_MART_SQL} FROM rates ORDER BY nb_transactions DESC, id_carte LIMIT 10")
 def top_cards(m: Model):
-    return listing.ranked_cards(datamarts.card_datamart(*m.facts), "nb_transactions", limit=10)
+    return listing.ranked_cards(landing.datamart(m, "card"), "nb_transactions", limit=10)
 
 
 @query("risky_cards", f"""
 SELECT {_MART_SQL} FROM rates WHERE nb_transactions >= 5 ORDER BY rate DESC, id_carte LIMIT 10""")
 def risky_cards(m: Model):
-    return listing.ranked_cards(datamarts.card_datamart(*m.facts), "taux_fraude_pct", limit=10, min_transactions=5)
+    return listing.ranked_cards(landing.datamart(m, "card"), "taux_fraude_pct", limit=10, min_transactions=5)
 
 
 @query("cards_by_amount_ascending", f"""
 SELECT {_MART_SQL} FROM rates WHERE nb_transactions >= 3 ORDER BY total, id_carte LIMIT 50""")
 def cards_by_amount_ascending(m: Model):
     return listing.ranked_cards(
-        datamarts.card_datamart(*m.facts), "total_amount", descending=False, limit=50, min_transactions=3
+        landing.datamart(m, "card"), "total_amount", descending=False, limit=50, min_transactions=3
     )
 
 
 @query("top_categories", f"SELECT * FROM ({_CATEGORY_SQL}) ORDER BY nb_transactions DESC, code_mcc LIMIT 10")
 def top_categories(m: Model):
-    return listing.top_categories(datamarts.category_datamart(m.transaction, m.marchand, m.mcc))
+    return listing.top_categories(landing.datamart(m, "category"))
 
 
 # ------------------------------------------------------ activity and statistics
@@ -348,7 +349,7 @@ SELECT c.id_client, count(f.id_transaction) AS nb_transactions,
        count(DISTINCT f.id_carte) AS nb_cartes_utilisees
 FROM client c LEFT JOIN flat f ON c.id_client = f.id_client GROUP BY c.id_client""")
 def client_summary(m: Model):
-    return listing.client_summary(m.docs, m.client)
+    return listing.client_summary(landing.documents(m), m.client)
 
 
 @query("fraud_stats", f"""
@@ -360,7 +361,7 @@ SELECT (SELECT count(*) FROM flat) AS total_transactions, (SELECT count(*) FROM
          (SELECT use_chip AS k, CAST(count(*) AS VARCHAR) AS n FROM fr GROUP BY 1)) AS par_type_paiement
 FROM (SELECT 1)""".replace("FROM fr", "FROM (SELECT * FROM flat WHERE is_fraud = 'Y') AS fr"))
 def fraud_stats(m: Model):
-    return listing.fraud_stats(m.docs)
+    return listing.fraud_stats(landing.documents(m))
 
 
 _AGE_SQL = """CASE WHEN current_age IS NULL OR current_age < 0 OR current_age >= 130 THEN 'unknown'
@@ -374,12 +375,12 @@ FROM flat WHERE is_fraud = 'Y' GROUP BY 2
 UNION ALL SELECT 'par_tranche_age', {_AGE_SQL}, count(*) FROM flat WHERE is_fraud = 'Y' GROUP BY 2
 UNION ALL SELECT 'par_type_paiement', use_chip, count(*) FROM flat WHERE is_fraud = 'Y' GROUP BY 2""")
 def fraud_facets(m: Model):
-    return listing.fraud_facets(m.docs)
+    return listing.fraud_facets(landing.documents(m))
 
 
 @query("fraud_age_classes", f"SELECT {_AGE_SQL} AS tranche, count(*) AS nb FROM flat WHERE is_fraud = 'Y' GROUP BY 1")
 def fraud_age_classes(m: Model):
-    return listing.age_classes(m.docs)
+    return listing.age_classes(landing.documents(m))
 
 
 @query("collection_report", f"""
@@ -389,7 +390,7 @@ SELECT count(*) AS total, count_if(is_fraud = 'Y') AS fraudes,
        count(DISTINCT id_marchand) AS marchands
 FROM flat""".replace("count_if(is_fraud = 'Y')", "CAST(count(CASE WHEN is_fraud = 'Y' THEN 1 END) AS BIGINT)"))
 def collection_report(m: Model):
-    return listing.collection_report(m.docs)
+    return listing.collection_report(landing.documents(m))
 
 
 @query("class_distribution", f"""
@@ -410,13 +411,7 @@ SELECT 'card' AS nom_table, count(*) AS nb_lignes FROM mart
 UNION ALL SELECT 'daily', count(DISTINCT situation_date) FROM tl
 UNION ALL SELECT 'category', count(*) FROM ({_CATEGORY_SQL}) c""")
 def datamart_counts(m: Model):
-    return listing.table_counts(
-        {
-            "card": datamarts.card_datamart(*m.facts),
-            "daily": datamarts.daily_datamart(*m.facts),
-            "category": datamarts.category_datamart(m.transaction, m.marchand, m.mcc),
-        }
-    )
+    return listing.table_counts({name: landing.datamart(m, name) for name in ("card", "daily", "category")})
 
 
 # ---------------------------------------------------- derivations and quality
