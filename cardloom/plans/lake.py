@@ -37,11 +37,9 @@ def silver_transactions(bronze: DataFrame, card: DataFrame, merchant: DataFrame,
 
 
 def known_parents(tx: DataFrame, card: DataFrame, merchant: DataFrame) -> DataFrame:
-    """Transactions with an existing card and merchant. The keys without parent
-    are few, and found on distinct keys; what is removed is removed by anti join."""
+    """Transactions with an existing card and merchant, by one semi join per parent."""
     for key, parent in (("id_carte", card), ("id_marchand", merchant)):
-        lost = quality.orphans(tx, key, parent, key).select(key)
-        tx = tx.join(lost, key, "left_anti")
+        tx = tx.join(parent.select(key), key, "left_semi")
     return tx
 
 
@@ -49,7 +47,8 @@ def erased(t: dict[str, DataFrame], clients: DataFrame) -> dict[str, DataFrame]:
     """Tables without the given clients (column id_client) and all that hangs on them.
 
     Children are keyed by card and transaction, so the lost keys are derived
-    first and each table loses them by anti join.
+    first and each table loses them by anti join. Of the journal go the rows about
+    the clients and about their cards.
     """
     ids = clients.select("id_client").distinct()
     cards = t["carte"].join(ids, "id_client", "left_semi").select("id_carte")
@@ -58,6 +57,11 @@ def erased(t: dict[str, DataFrame], clients: DataFrame) -> dict[str, DataFrame]:
     for child in ("label_fraude", "erreur_transaction"):
         if child in t:
             out[child] = t[child].join(lost, "id_transaction", "left_anti")
+    if "journal_audit" in t:
+        gone = ids.select(F.lit("client").alias("table_concernee"), F.col("id_client").alias("id_ligne_concernee")).unionByName(
+            cards.select(F.lit("carte").alias("table_concernee"), F.col("id_carte").alias("id_ligne_concernee"))
+        )
+        out["journal_audit"] = t["journal_audit"].join(gone, ["table_concernee", "id_ligne_concernee"], "left_anti")
     out["transaction"] = t["transaction"].join(cards, "id_carte", "left_anti")
     out["carte"] = t["carte"].join(ids, "id_client", "left_anti")
     out["client"] = t["client"].join(ids, "id_client", "left_anti")

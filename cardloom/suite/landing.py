@@ -26,8 +26,8 @@ def once(m: Binding, name: str, write) -> str:
     return _written[key]
 
 
-def _csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("escape", '"').csv(path)
+def _csv(df: DataFrame, path: str, mode: str = "error") -> None:
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def users(m: Binding) -> str:
@@ -64,10 +64,28 @@ def cards(m: Binding) -> str:
 
 def transactions(m: Binding) -> str:
     """Every eleventh amount is negative, every 29th has no state and zip."""
+    return once(m, "transactions", lambda p: _csv(_transaction_lines(m), p))
+
+
+def faulty_transactions(m: Binding) -> str:
+    """The same lines with more: every 53rd comes twice, every 59th again with too many fields."""
+    rows = _transaction_lines(m)
+
+    def write(path: str) -> None:
+        _csv(rows, path)
+        _csv(rows.where(F.col("id") % 53 == 0), path, "append")
+        broken = rows.where(F.col("id") % 59 == 0).withColumn("errors", F.lit("a,b,c"))
+        # without quotes the commas part fields
+        broken.write.mode("append").option("header", True).option("quote", "").csv(path)
+
+    return once(m, "faulty_transactions", write)
+
+
+def _transaction_lines(m: Binding) -> DataFrame:
     i = F.col("id_transaction")
     amount = F.when(i % 11 == 0, -F.col("amount")).otherwise(F.col("amount"))
     with_place = i % 29 != 0
-    rows = (
+    return (
         m.transaction.join(m.error_texts, "id_transaction")
         .select(
             i.alias("id"),
@@ -83,7 +101,6 @@ def transactions(m: Binding) -> str:
             F.nullif("errors", F.lit("")).alias("errors"),
         )
     )
-    return once(m, "transactions", lambda p: _csv(rows, p))
 
 
 def mcc_codes(m: Binding) -> str:

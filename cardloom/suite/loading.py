@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.functions import crypto
@@ -161,13 +163,20 @@ def bucketed_card_datamart(m: Model):
     return datamarts.card_datamart(m.spark.table(f"cardloom_tx_{suffix}"), m.spark.table(f"cardloom_label_{suffix}"))
 
 
-@query("refreshed_datamarts", """
-SELECT 'card' AS nom_table, count(*) AS nb_lignes FROM mart
-UNION ALL SELECT 'daily', count(DISTINCT situation_date) FROM tl
-UNION ALL SELECT 'category', count(DISTINCT code_mcc) FROM tx JOIN marchand USING (id_marchand)""")
+@query("refreshed_datamarts", f"""
+SELECT 'card' AS nom_table, count(*) AS nb_lignes, CAST(sum(nb_transactions) AS BIGINT) AS nb_tx, {money_sql('sum(total)')} AS total FROM mart
+UNION ALL SELECT 'daily', count(DISTINCT situation_date), count(*), {money_sql('sum(cents)')} FROM tl
+UNION ALL SELECT 'category', count(DISTINCT code_mcc), count(*), {money_sql('sum(cents)')}
+FROM tx JOIN marchand USING (id_marchand) JOIN mcc USING (code_mcc)""")
 def refreshed_datamarts(m: Model):
-    gold = landing.gold(m)
-    return listing.table_counts({name: marts.read(m.spark, gold, name) for name in marts.ORDER})
+    """Rows, transactions and amounts of the three stored datamarts."""
+    counts = {"card": "nb_transactions", "daily": "nb_tx", "category": "nb_transactions"}
+    return reduce(DataFrame.unionByName, [
+        landing.datamart(m, name).agg(
+            F.count(F.lit(1)).alias("nb_lignes"), F.sum(counts[name]).alias("nb_tx"), F.sum("total_amount").cast("double").alias("total")
+        ).select(F.lit(name).alias("nom_table"), "nb_lignes", "nb_tx", "total")
+        for name in marts.ORDER
+    ])
 
 
 @query("stored_risky_cards", """
@@ -296,15 +305,18 @@ def sql_client_functions(m: Model):
 
 
 def _bronze(m: Model) -> str:
-    source = landing.transactions(m)
+    source = landing.faulty_transactions(m)
     return landing.once(
         m, "bronze", lambda p: lake.to_bronze(m.spark, source, p, F.trunc(raw.transaction_day(), "year").cast("date"))
     )
 
 
 @query("bronze_report", """
-SELECT count(*) AS lignes, CAST(0 AS BIGINT) AS rejets, CAST(0 AS DOUBLE) AS taux_rejet_pct FROM tx""")
+SELECT lignes, rejets, round(100.0::DOUBLE * rejets / lignes, 4) AS taux_rejet_pct
+FROM (SELECT CAST(count(*) + count(CASE WHEN id_transaction % 53 = 0 THEN 1 END) + count(CASE WHEN id_transaction % 59 = 0 THEN 1 END) AS BIGINT) AS lignes,
+             CAST(count(CASE WHEN id_transaction % 59 = 0 THEN 1 END) AS BIGINT) AS rejets FROM tx)""")
 def bronze_report(m: Model):
+    """Lines with broken and repeated ones among them."""
     return lake.bronze_report(m.spark.read.parquet(_bronze(m)))
 
 
@@ -318,11 +330,19 @@ def silver_transactions(m: Model):
 
 
 @query("erasure", """
-SELECT 'client' AS nom_table, count(*) AS nb_lignes FROM client WHERE current_age <> 30
-UNION ALL SELECT 'carte', count(*) FROM carte JOIN client USING (id_client) WHERE current_age <> 30
-UNION ALL SELECT 'transaction', count(*) FROM tx JOIN carte USING (id_carte) JOIN client USING (id_client) WHERE current_age <> 30
-UNION ALL SELECT 'label_fraude', count(*) FROM label JOIN tx USING (id_transaction) JOIN carte USING (id_carte)
-  JOIN client USING (id_client) WHERE current_age <> 30""")
+SELECT 'client' AS nom_table, id_client AS cle FROM client WHERE current_age <> 30
+UNION ALL SELECT 'carte', id_carte FROM carte JOIN client USING (id_client) WHERE current_age <> 30
+UNION ALL SELECT 'transaction', id_transaction FROM tx JOIN carte USING (id_carte) JOIN client USING (id_client) WHERE current_age <> 30
+UNION ALL SELECT 'label_fraude', id_transaction FROM label JOIN tx USING (id_transaction) JOIN carte USING (id_carte)
+  JOIN client USING (id_client) WHERE current_age <> 30
+UNION ALL SELECT 'journal_audit', id_client FROM client WHERE current_age <> 30
+UNION ALL SELECT 'journal_audit', id_carte FROM carte JOIN client USING (id_client) WHERE current_age <> 30""")
 def erasure(m: Model):
-    t = {"client": m.client, "carte": m.carte, "transaction": m.transaction, "label_fraude": m.label_fraude}
-    return listing.table_counts(lake.erased(t, m.client.where(F.col("current_age") == 30)))
+    """Keys of the rows that stay after the clients of one age are erased; the journal has a row for each client and card."""
+    journal = m.client.select(F.lit("client").alias("table_concernee"), F.col("id_client").alias("id_ligne_concernee")).unionByName(
+        m.carte.select(F.lit("carte").alias("table_concernee"), F.col("id_carte").alias("id_ligne_concernee"))
+    )
+    t = {"client": m.client, "carte": m.carte, "transaction": m.transaction, "label_fraude": m.label_fraude, "journal_audit": journal}
+    keys = {"client": "id_client", "carte": "id_carte", "transaction": "id_transaction", "label_fraude": "id_transaction", "journal_audit": "id_ligne_concernee"}
+    left = lake.erased(t, m.client.where(F.col("current_age") == 30))
+    return reduce(DataFrame.unionByName, [left[n].select(F.lit(n).alias("nom_table"), F.col(k).cast("bigint").alias("cle")) for n, k in keys.items()])
