@@ -101,13 +101,19 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return rows.select("source", "source_size", F.least(cap.cast("double"), F.lit(level) * F.col("_weight")).alias("target"))
 
 
-def shares(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: str = "", **mix) -> DataFrame:
-    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` of each row; ``seed`` changes the random order."""
+def shares(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: str = "", row_col: str | None = None, **mix) -> DataFrame:
+    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` of each row.
+
+    ``seed`` changes the random order, which follows from the ids and not from
+    where rows lie. ``row_col``, if given, is carried along as ``row`` and parts ties.
+    """
+    row = [] if row_col is None else ["row"]
     sized = docs.select(
+        *([] if row_col is None else [F.col(row_col).alias("row")]),
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"),
         F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("key"),
     )
-    ordered = prefix_sums(sized, ["source"], ["key", "doc_id", "size"], "size", "mix-order")
+    ordered = prefix_sums(sized, ["source"], ["key", "doc_id", "size", *row], "size", "mix-order")
     sources = written(ordered.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sizes")
     per_source = targets(sources, **mix).withColumnRenamed("source", "_source")
     joined = ordered.join(per_source, F.col("source").eqNullSafe(F.col("_source")))
@@ -115,7 +121,7 @@ def shares(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - whole * F.col("source_size") - F.col("before")
     taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return joined.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return joined.select(*row, "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", length_col: str | None = None, seed: str = "", **mix) -> DataFrame:
@@ -125,10 +131,10 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     its last epoch only; ``length_col``, if given, is set to its code points.
     """
     rows = numbered(docs, "mix-rows", "_mix_rid")
-    part = shares(rows, "_mix_rid", source_col, text_col, seed, **mix)
-    part = part.where("taken > 0").select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "size", "taken")])
+    part = shares(rows, id_col, source_col, text_col, seed, "_mix_rid", **mix)
+    part = part.where("taken > 0").select(*[F.col(c).alias(f"_mix_{c}") for c in ("row", "size", "taken")])
     size, taken, epoch = F.col("_mix_size"), F.col("_mix_taken"), F.col("_mix_epoch")
-    joined = rows.join(part, F.col("_mix_rid") == F.col("_mix_doc_id"))
+    joined = rows.join(part, F.col("_mix_rid") == F.col("_mix_row"))
     each = joined.withColumn("_mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((taken - 1) / size))))
     left = F.least(size, taken - epoch * size)
     each = each.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(left < size, left).alias("_mix_words"))
