@@ -39,8 +39,8 @@ COSINE = 0.93
 GRID_AXES, BOX_AXES = 3, 8
 #: Vectors in a block, side of a product inside a task, parts of an interval per level (as a power of two).
 BLOCK, LEAF, FAN_BITS = 1024, 256, 4
-#: Axes are fitted for vectors up to this length; longer ones are joined without boxes.
-MAX_AXES_DIM = 2048
+#: Axes are fitted for the most frequent vector lengths, up to this length; others are joined without boxes.
+AXES_LENGTHS, MAX_AXES_DIM = 8, 1024
 
 
 def epsilon(cosine: float) -> float:
@@ -74,6 +74,10 @@ def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
 
     Tasks give one matrix of sums per length; their sums have dim * dim numbers, whatever the number of vectors.
     """
+    counts = classes.where(F.col("dim") <= MAX_AXES_DIM).groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
+    lengths = [r.dim for r in counts.orderBy(F.desc("n"), "dim").limit(AXES_LENGTHS).collect()]
+    if not lengths:
+        return {}
     out = arrow_schema("dim int, at int, total double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,15 +86,13 @@ def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
             dims = batch.column(0).to_numpy(zero_copy_only=False)
             units = batch.column(1)
             for dim in np.unique(dims):
-                if dim > MAX_AXES_DIM:
-                    continue
                 m = np.frombuffer(b"".join(units[int(i)].as_py() for i in np.flatnonzero(dims == dim))).reshape(-1, dim)
                 sums[int(dim)] = sums.get(int(dim), 0) + m.T @ m
         for dim, total in sums.items():
             flat = total.ravel()
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flat), dim, dtype=np.int32)), pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], schema=out)
 
-    moments = map_batches(classes.select("dim", "unit"), run, "dim int, at int, total double").groupBy("dim", "at").agg(F.sum("total").alias("total"))
+    moments = map_batches(classes.where(F.col("dim").isin(*lengths)).select("dim", "unit"), run, "dim int, at int, total double").groupBy("dim", "at").agg(F.sum("total").alias("total"))
     rows = moments.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("at", "total"))).alias("m")).collect()
     axes = {}
     for r in rows:
