@@ -54,6 +54,9 @@ AROUND = frozenset(
     "pagination pager paging comment comments commentlist disqus respond reply replies discussion toolbar widget copyright legal disclaimer "
     "skip search complementary contentinfo search hidden".split()
 )
+#: Parts that mark it inside longer words, too.
+_WITHIN = re.compile(r"cookie|advert|sidebar|navbar|footer|newsletter|breadcrumb|disqus|sponsor|^ad(box|slot|unit|wrap|banner|container)|^comments|comments$|menu$")
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 #: Of these, what still counts on the element that marks an article.
 _NOT_ARTICLE = frozenset("comment comments commentlist reply replies respond ad ads advert advertisement sponsored promo related recommended teaser".split())
 _ENDS_P = BLOCK - {"br", "button", "option", "optgroup", "select", "textarea", "title", "iframe", "object"}
@@ -181,14 +184,17 @@ def _around(name: str, attrs: str, article: bool) -> bool:
         return False
     words: set[str] = set()
     for found in _ATTR.finditer(attrs):
-        key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
+        key, value = found[1].lower(), found[2] or found[3] or found[4] or ""
         if key in ("class", "id", "role"):
-            words.update(re.split(r"[\s_\-:]+", value))
-        elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            words.update(re.split(r"[\s_\-:]+", value.lower()))
+            words.update(re.split(r"[\s_\-:]+", _CAMEL.sub("-", value).lower()))
+            continue
+        value = value.lower()
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
     if name in ("article", "main"):
         return bool(words & _NOT_ARTICLE)
-    return bool(words & AROUND) or "header" in words and not article and not words & {"article", "entry", "post", "content"}
+    return bool(words & AROUND) or any(map(_WITHIN.search, words)) or "header" in words and not article and not words & {"article", "entry", "post", "content"}
 
 
 def classify(page: list[Block]) -> list[Block]:

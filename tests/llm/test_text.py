@@ -24,6 +24,13 @@ def test_page():
     assert webtext.main_text(None) == webtext.main_text("") == webtext.main_text("<p>") == webtext.main_text("<script>x") == ""
 
 
+def test_names_of_what_stands_around():
+    for name in ("cookieBanner", "ad-slot", "adbox", "userComments", "comments-area", "site_footer", "mainMenu", "newsletter-box", "sidebar-left", "related-posts"):
+        assert webtext.main_text(f'<main><p>Kept.</p><div class="{name}">Not this one.</div></main>') == "Kept.", name
+    for name in ("commentary", "adage", "article-body", "header-image-of", "shadow"):
+        assert webtext.main_text(f'<main><div class="{name}">Kept.</div></main>') == "Kept.", name
+
+
 def test_page_without_article_mark():
     words = "the cat of the house is in the garden and it was there for all of us to see "
     html = f"""<body><div class="menu"><a href=1>One</a></div><div><a href=2>Two</a> <a href=3>Three</a></div><h2>Heading</h2><div>{words * 4}</div>
