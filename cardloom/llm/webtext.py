@@ -202,12 +202,12 @@ def classify(page: list[Block]) -> list[Block]:
     marked = any(b.article and not b.out and b.linked <= LINKS_IN_ARTICLE for b in page)
     for b in page:
         b.label = _first(b, marked)
-    decided = [(i, b.label) for i, b in enumerate(page) if b.label in ("text", "rest")]
-    if not any(label == "text" for _, label in decided):
-        for i, b in enumerate(page):
+    if not any(b.label == "text" for b in page):
+        for b in page:
             if b.label == "near":
                 b.label = "text"
-        decided = [(i, b.label) for i, b in enumerate(page) if b.label in ("text", "rest")]
+    # what is out by its place says nothing about the blocks beside that place
+    decided = [(i, b.label) for i, b in enumerate(page) if b.label in ("text", "rest") and not b.out]
     at = 0
     for i, b in enumerate(page):
         while at < len(decided) and decided[at][0] < i:
@@ -244,7 +244,7 @@ def _second(b: Block, i: int, before: tuple[int, str] | None, after: tuple[int,
     if not sides:
         return "text" if b.label == "near" else "rest"
     if len({label for _, label in sides}) == 1:
-        return sides[0][1] if len(sides) == 2 or b.label == "near" or b.heading else "rest"
+        return sides[0][1]
     if b.label == "near":
         return "text"
     if b.heading:
