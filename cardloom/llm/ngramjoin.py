@@ -221,7 +221,8 @@ def joined(rows: DataFrame) -> DataFrame:
     members = written(members, "join-members")
 
     to_leader = members.select("class_id", F.length("text").alias("chars"), F.explode(F.array_distinct(F.filter("leaders", lambda x: x >= 0))).alias("leader"))
-    sums = to_leader.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    # written, as joins that share a stage with an aggregate cannot be split where a key is hot
+    sums = written(to_leader.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars")), "join-leaders")
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("chars") / BLOCK_BYTES)).cast("int")
     placed = to_leader.join(sums.select("leader", blocks.alias("blocks")), "leader")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
@@ -238,6 +239,6 @@ def joined(rows: DataFrame) -> DataFrame:
     labelled = labelled.select("words", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "class_id").alias("root"))
     per_row = written(signed.select("rid", "doc_id", "words").join(labelled, "words", "left").select(
         "rid", "doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rid").alias("root")), "join-rows")
-    first = per_row.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
+    first = written(per_row.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")), "join-first")
     out = per_row.join(first, "root")
     return out.select("rid", "doc_id", F.col("first.doc_id").alias("class_id"), "n_links", (F.col("rid") == F.col("first.rid")).alias("kept"))
