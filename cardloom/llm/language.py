@@ -26,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import CHUNK, Shared, arrow_schema, map_batches, map_rows, python_ready
+from cardloom.llm.common import CHUNK, Shared, arrow_schema, map_batches, map_rows, python_ready, written
 
 #: Most rows the weights are learned from.
 SAMPLE = 12_000
 BUCKETS, GRAMS = 1 << 15, (1, 2, 3)
 #: Follow-the-regularised-leader: step, smoothing, elastic net, passes; one row in this many is kept for the temperature.
 ALPHA, BETA, L1, L2, PASSES, KEEP = 0.5, 1.0, 0.05, 0.1, 2, 8
+#: Slices of the hash by which rows are counted before they are ranked.
+SLICE_BITS = 16
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -174,8 +176,13 @@ def fit(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id", te
     if where is not None:
         rows = rows.where(where)
     idf = _document_frequencies(rows)
-    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= sample)
+    # counts per slice of the hash tell from which slice on a language has enough, so few rows beyond ``sample`` are ranked
+    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).withColumn("slice", F.shiftrightunsigned("hash", 64 - SLICE_BITS))
+    counts = hashed.groupBy("lang", "slice").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = written(counts.withColumn("before", before).where(F.col("before") < sample).groupBy("lang").agg(F.max("slice").alias("last")), "language-slices")
+    turn = Window.partitionBy("lang").orderBy("slice", "hash", "doc_id")
+    chosen = hashed.join(last, "lang").where("slice <= last").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= sample)
     chosen = chosen.orderBy("turn", "lang", "doc_id").limit(sample).select("doc_id", "lang").distinct()
     # at most ``sample`` rows of an id and a language
     texts = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.max("text").alias("text"))
