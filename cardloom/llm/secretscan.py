@@ -4,8 +4,8 @@ Method: three base patterns, and Shannon entropy of sliding windows over
 candidate strings. A candidate is a run of key characters; within it the entropy
 of each window of ``WINDOW`` characters is kept by incremental counts, apart for
 hexadecimal and for general keys. Windows over the threshold join into one span;
-identifiers on the allow-list are suppressed, and spans that touch a base span
-are left to it.
+identifiers on the allow-list are suppressed. Base spans are cut out of a joined
+span, and each piece left that holds a window over the threshold is kept.
 
 Cases: a null or empty text has no spans. Repeated rows are scanned each for
 itself, texts whole; positions count code points, ends are exclusive. Other
@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -44,6 +45,7 @@ ALLOWED = (
     re.compile(r"[A-Za-z]+[0-9]{0,4}"),
     re.compile(r"[0-9/_=+-]+"),
 )
+SEPARATORS = "/_=+-"
 RISING = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 
@@ -81,31 +83,38 @@ def entropy_spans(text: str, taken: list[Span]) -> list[Span]:
     out: list[Span] = []
     for found in CANDIDATE.finditer(text):
         run = found.group()
-        if any(allowed.fullmatch(run) for allowed in ALLOWED) or run.lower() in RISING * 2:
+        if _allowed(run):
             continue
         least = HEX_BITS if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run) else KEY_BITS
-        start = end = -1
-        spans = []
-        for i, bits in enumerate(window_bits(run)):
-            if bits < least:
-                continue
-            if i <= end:
-                end = i + WINDOW
-            else:
-                if end >= 0:
-                    spans.append((start, end))
-                start, end = i, i + WINDOW
-        if end >= 0:
-            spans.append((start, end))
-        for a, b in spans:
-            part = run[a:b]
-            a, b = a + found.start(), b + found.start()
+        over = [found.start() + i for i, bits in enumerate(window_bits(run)) if bits >= least]
+        for a, b in _pieces(over, taken):
+            part = text[a:b]
             mixed = any(c.isdigit() for c in part) and any(c.isalpha() for c in part)
-            if mixed and not any(a < e and s < b for _, s, e in taken):
+            if mixed and not _allowed(part.strip(SEPARATORS)):
                 out.append(("entropy", a, b))
     return out
 
 
+def _allowed(run: str) -> bool:
+    return any(allowed.fullmatch(run) for allowed in ALLOWED) or run.lower() in RISING * 2
+
+
+def _pieces(over: list[int], taken: list[Span]) -> Iterator[tuple[int, int]]:
+    """Unions of the windows that start at ``over``, without ``taken``: the pieces that hold a whole window."""
+    joined: list[list[int]] = []
+    for i in over:
+        if joined and i <= joined[-1][1]:
+            joined[-1][1] = i + WINDOW
+        else:
+            joined.append([i, i + WINDOW])
+    for start, end in joined:
+        for _, s, e in [*(t for t in taken if t[1] < end and start < t[2]), ("", end, end)]:
+            first = bisect_left(over, start)
+            if first < len(over) and over[first] + WINDOW <= s:
+                yield start, s
+            start = max(start, e)
+
+
 def spans(text: str | None) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans in the same order."""
     if not text:
