@@ -2,8 +2,10 @@
 
 Method: three base patterns, and Shannon entropy of sliding windows over
 candidate strings. A candidate is a run of key characters; within it the entropy
-of each window of ``WINDOW`` characters is kept by incremental counts, apart for
-hexadecimal and for general keys. Windows over the threshold join into one span;
+of each window of ``WINDOW`` characters is kept by incremental counts. The
+threshold of a window follows from its own characters: hexadecimal digits,
+letters of one case and digits, of both cases and digits, or with separators.
+Windows over the threshold join into one span;
 identifiers on the allow-list are suppressed. Base spans are cut out of a joined
 span, and each piece left that holds a window over the threshold is kept.
 
@@ -35,17 +37,18 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_VALUE = 6
 
 WINDOW = 20
-#: Least bits per character of a window that is a key.
-HEX_BITS, KEY_BITS = 3.0, 3.8
+#: Least bits per character of a window that is a key; 97 to 99 % of the windows of random keys of a class have them.
+HEX_BITS, CASE_BITS, MIXED_BITS, KEY_BITS = 3.0, 3.4, 3.65, 3.8
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-#: What looks random and is none: UUIDs, paths of words, counted-up characters.
+#: What looks random and is none: UUIDs, paths of words, identifiers of at most 40 characters, counted-up characters.
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
     re.compile(r"(?:[A-Za-z]*[/_=+-])+[A-Za-z]*"),
-    re.compile(r"[A-Za-z]+[0-9]{0,4}"),
+    re.compile(r"(?=.{1,40}\Z)[a-z]*(?:[A-Z]+[a-z]{2,})*[A-Z]*[0-9]{0,4}"),
     re.compile(r"[0-9/_=+-]+"),
 )
 SEPARATORS = "/_=+-"
+STRETCH = re.compile(r"[A-Za-z0-9]{20,}")
 RISING = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 
@@ -79,14 +82,39 @@ def window_bits(run: str, window: int = WINDOW) -> Iterator[float]:
             yield math.log2(window) - total / window
 
 
+def window_limits(run: str, window: int = WINDOW) -> Iterator[float]:
+    """Threshold of each window of ``run`` by its class; a stretch between separators that is allowed by itself has the highest."""
+    sign = high = low = high_letter = low_letter = -1  # last places of separators, of letters, and of letters beyond F
+    known = {i for m in STRETCH.finditer(run) if _allowed(m.group()) for i in range(m.start(), m.end() - window + 1)} if len(run) > window else ()
+    for i, letter in enumerate(run):
+        if letter in SEPARATORS:
+            sign = i
+        elif "A" <= letter <= "Z":
+            high = i
+            high_letter = i if letter > "F" else high_letter
+        elif "a" <= letter <= "z":
+            low = i
+            low_letter = i if letter > "f" else low_letter
+        first = i - window + 1
+        if first < 0:
+            continue
+        if sign >= first or first in known:
+            yield KEY_BITS
+        elif high >= first and low >= first:
+            yield MIXED_BITS
+        elif high_letter >= first or low_letter >= first:
+            yield CASE_BITS
+        else:
+            yield HEX_BITS
+
+
 def entropy_spans(text: str, taken: list[Span]) -> list[Span]:
     out: list[Span] = []
     for found in CANDIDATE.finditer(text):
         run = found.group()
         if _allowed(run):
             continue
-        least = HEX_BITS if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run) else KEY_BITS
-        over = [found.start() + i for i, bits in enumerate(window_bits(run)) if bits >= least]
+        over = [found.start() + i for i, (bits, least) in enumerate(zip(window_bits(run), window_limits(run))) if bits >= least]
         for a, b in _pieces(over, taken):
             part = text[a:b]
             mixed = any(c.isdigit() for c in part) and any(c.isalpha() for c in part)

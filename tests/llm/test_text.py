@@ -109,6 +109,29 @@ def test_secret_beside_a_base_span():
         assert secretscan.redacted(text, secretscan.spans(text)[1]) == f"[SECRET]={rest}"
 
 
+def test_random_keys_of_each_class():
+    rng = random.Random(12)
+    digits, small = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    letters = {"hex": digits + "abcdef", "HEX": digits + "ABCDEF", "base32": small.upper() + "234567", "base36": digits + small, "base62": digits + small + small.upper()}
+    for kind, chars in letters.items():
+        for n in (20, 24, 64):
+            for before in ("", "KEY=", "id/", "my_", "a-"):
+                missed = 0
+                for _ in range(400):
+                    key = "".join(rng.choices(chars, k=n))
+                    text = f"see {before}{key} there"
+                    at = text.index(before + key) + len(before)
+                    missed += not any(s < at + n and at < e and min(e, at + n) - max(s, at) > n / 2 for _, s, e in secretscan.spans(text)[1])
+                assert missed <= (36 if n == 20 else 20 if n == 24 else 2), (kind, n, before, missed)
+
+
+def test_identifiers_are_bounded():
+    for name in ("internationalization2024", "NAME=internationalization2024", "getUserAgentStringFromHeader2", "isAValidTransactionIdentifier", "MAXIMUMNUMBEROFPARTITIONS64"):
+        assert secretscan.spans(name)[1] == [], name
+    for key in ("QxZvbKwJmPtYhGfDsLcRnUeAoIqWzXjB" * 2 + "1234", "qXzVbkWjMpTyHgFdSlCrNu7"):
+        assert [s[0] for s in secretscan.spans(key)[1]] == ["entropy"], key
+
+
 def test_scan_frame(spark, docs_of):
     rows = [(1, "password: hunter22"), (2, None), (3, ""), (None, "x" * 100_000), (1, "password: hunter22")]
     got = sorted(((r.doc_id, r.n_assign, r.spans) for r in secretscan.scan(docs_of(rows)).collect()), key=str)
