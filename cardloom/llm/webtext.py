@@ -3,8 +3,10 @@
 Method: a page is cut into blocks at block tags. Pass one decides blocks by
 where they stand (menus, notices, forms, comments are out), by link density, and
 by stop-word density and length. What stays open, short or middling blocks, takes
-in pass two the label of the nearest decided neighbours. Where a page marks its
-article, blocks inside it are decided as text unless they are links, and blocks
+in pass two the label of the nearest decided neighbours. A wrapper put out by its
+names alone comes back at an article or main inside it, or if it holds most of
+the page's dense text; within an article only names of comments, notices,
+menus and advertising count. Where a page marks its article, blocks inside it are decided as text unless they are links, and blocks
 outside it are not text.
 
 Cases: a null or empty page has an empty text. Broken markup is read as far as
@@ -59,6 +61,21 @@ _WITHIN = re.compile(r"cookie|advert|sidebar|navbar|footer|newsletter|breadcrumb
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 #: Of these, what still counts on the element that marks an article.
 _NOT_ARTICLE = frozenset("comment comments commentlist reply replies respond ad ads advert advertisement sponsored promo related recommended teaser".split())
+#: Of these, names of comments and of other pages.
+_OTHER = frozenset("comment comments commentlist reply replies respond related recommended".split())
+#: Names that count within an article, besides those with a part of ``_WITHIN``.
+_IN_ARTICLE = _OTHER | frozenset("ad ads advert advertisement sponsored promo adv adverts advertisements advertising adsense promotion navbar menubar hidden".split())
+#: Notices: never the main text, however long.
+_NOTICE = re.compile(r"cookie|advert|sponsor|newsletter|^(consent|gdpr|ads?|promo)$|^ad(box|slot|unit|wrap|banner|container)")
+#: A name that only tells what else is there: has-sidebar, comments-open.
+_ABOUT = re.compile(r"^(?:has|with|no|without)[-_]|^(?:has|with|no|without)(?=[A-Z])|[-_](?:open|closed|enabled|disabled|on|off|free|supported)$")
+#: With these, related or recommended is a list of other pages; else (related-work) a topic.
+_LISTS = frozenset("related recommended recommendations".split())
+_HEADING = re.compile(r"h[1-6]")
+_OTHERS = frozenset(
+    "posts post articles article stories story links link content news items item topics pages videos products reads reading list box widget "
+    "block entries container wrapper section grid module area".split()
+)
 _ENDS_P = BLOCK - {"br", "button", "option", "optgroup", "select", "textarea", "title", "iframe", "object"}
 
 STOP_WORDS = frozenset(
@@ -84,13 +101,32 @@ class Block:
     label: str = ""
 
 
+#: How firmly an element stands around an article: by a name that within an article only bars links; by a name; by that of
+#: a notice or advertising, which no mass of text brings back; by that of comments or other pages, whose articles are not the
+#: page's; by its kind.
+DOUBT, NAMED, NOTICE, OTHERS, SURE = 1, 2, 3, 4, 5
+
+
+@dataclass
+class Root:
+    """An element put out by its names: the one around it and its dense text."""
+
+    above: int
+    level: int
+    dense: int = 0
+    out: bool = True
+
+
 def blocks(html: str) -> list[Block]:
     """The non-empty blocks of a page, in order."""
     done: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, out, article
+    within: list[int] = []  # root of each block
+    roots = [Root(0, 0)]
+    stack: list[tuple[str, bool, bool, int]] = []  # name, out, article, root
     parts: list[str] = []
     linked = links = 0
     out = article = heading = False
+    root = 0
 
     def flush() -> None:
         nonlocal linked
@@ -98,6 +134,7 @@ def blocks(html: str) -> list[Block]:
             text = _SPACE.sub(" ", unescape("".join(parts))).strip()
             if text:
                 done.append(Block(text, min(1.0, linked / len(text)), out, article, heading))
+                within.append(root)
             parts.clear()
         linked = 0
 
@@ -109,8 +146,8 @@ def blocks(html: str) -> list[Block]:
                 linked += len(_SPACE.sub(" ", unescape(text)).strip())
 
     def settle() -> None:
-        nonlocal out, article
-        out, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        nonlocal out, article, root
+        out, article, root = stack[-1][1:] if stack else (False, False, 0)
 
     at = 0
     while True:
@@ -166,35 +203,80 @@ def blocks(html: str) -> list[Block]:
             settle()
             links = 0
         attrs = found["attrs"] or ""
-        stack.append((name, out or _around(name, attrs, article), article or name in ("article", "main") or "articleBody" in attrs or 'role="main"' in attrs))
+        level = _around(name, attrs, article)
+        marks = name in ("article", "main") or "articleBody" in attrs or 'role="main"' in attrs
+        if marks and level <= NAMED and (roots[root].level < OTHERS or name == "main"):
+            root = level = 0
+        elif 0 < level < SURE:
+            roots.append(Root(root, max(level, OTHERS if roots[root].level == OTHERS else 0)))
+            root = len(roots) - 1
+        stack.append((name, out or level == SURE, article or marks, root))
         settle()
         if name in RAW:
             end = re.compile(rf"</{name}\b", re.I).search(html, at)
             add(html[at : end.start()] if end else html[at:])
             at = end.start() if end else len(html)
     flush()
+    _settle(done, within, roots)
     return done
 
 
-def _around(name: str, attrs: str, article: bool) -> bool:
-    """Whether an element stands around an article, by its name, class, id, role or by being hidden."""
+def _settle(done: list[Block], within: list[int], roots: list[Root]) -> None:
+    """Put out the blocks below the roots, but for a root that holds most of the dense text."""
+    if len(roots) == 1:
+        return
+    dense = 0
+    for b, root in zip(done, within) if any(r.level == NAMED for r in roots) else ():
+        if not b.out and roots[root].level < NOTICE and b.linked <= LINKS and len(b.text) >= SHORT and _stops(b.text) >= STOP_LOW:
+            roots[root].dense += len(b.text)
+            dense += len(b.text)
+    for root in reversed(roots[1:]):
+        roots[root.above].dense += root.dense
+    roots[0].out = False
+    for root in roots[1:]:
+        root.out = roots[root.above].out or root.level > NAMED or root.level == NAMED and 2 * root.dense <= dense
+    for b, root in zip(done, within):
+        b.out = b.out or roots[root].out or roots[root].level == DOUBT and b.linked > LINKS
+
+
+def _around(name: str, attrs: str, article: bool) -> int:
+    """How firmly an element stands around an article, by its name, class, id, role or by being hidden; 0 if it does not."""
     if name in OUT or name == "header" and not article:
-        return True
+        return SURE
     if not attrs or name in ("html", "body"):
-        return False
+        return 0
     words: set[str] = set()
+    topics: set[str] = set()
     for found in _ATTR.finditer(attrs):
         key, value = found[1].lower(), found[2] or found[3] or found[4] or ""
         if key in ("class", "id", "role"):
-            words.update(re.split(r"[\s_\-:]+", value.lower()))
-            words.update(re.split(r"[\s_\-:]+", _CAMEL.sub("-", value).lower()))
+            # the id of a heading or section is its topic
+            into = topics if key == "id" and (name == "section" or _HEADING.fullmatch(name)) else words
+            for one in value.split():
+                if not _ABOUT.search(one):
+                    parts = {*re.split(r"[_\-:]+", one.lower()), *re.split(r"[_\-:]+", _CAMEL.sub("-", one).lower())}
+                    into.update(parts if len(parts) == 1 and into is words or parts & _OTHERS else parts - _LISTS)
             continue
         value = value.lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return SURE
     if name in ("article", "main"):
-        return bool(words & _NOT_ARTICLE)
-    return bool(words & AROUND) or any(map(_WITHIN.search, words)) or "header" in words and not article and not words & {"article", "entry", "post", "content"}
+        return OTHERS if words & _NOT_ARTICLE else 0
+    if words & _OTHER or name == "section" and topics & _OTHER:
+        return OTHERS
+    if name == "section" and not article:
+        words.update(t for t in topics if _WITHIN.search(t))
+    inside = any(map(_WITHIN.search, words))
+    if inside or words & (_IN_ARTICLE if article else AROUND):
+        return NOTICE if any(map(_NOTICE.search, words)) else NAMED
+    if words & AROUND:
+        return DOUBT
+    return NAMED if "header" in words and not article and not words & {"article", "entry", "post", "content"} else 0
+
+
+def _stops(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
 
 
 def classify(page: list[Block]) -> list[Block]:
@@ -229,8 +311,7 @@ def _first(b: Block, marked: bool) -> str:
         return "rest"
     if len(b.text) < SHORT:
         return "rest" if b.linked else "short"
-    words = _WORD.findall(b.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    stops = _stops(b.text)
     if stops >= STOP_HIGH:
         return "text" if len(b.text) >= LONG else "near"
     if stops >= STOP_LOW or not b.linked and len(b.text) >= LONG:

@@ -31,6 +31,29 @@ def test_names_of_what_stands_around():
         assert webtext.main_text(f'<main><div class="{name}">Kept.</div></main>') == "Kept.", name
 
 
+def test_wrappers_with_names_of_what_stands_around():
+    prose = "The cat of the house is in the garden and it was there for all of us to see. " * 4
+    kept = prose.strip()
+    for name in ("content has-sidebar", "sidebar-layout", "with-menu", "notice", "page ad-free", "ads", "overlay", "cookie-page"):
+        for mark in ("article", "main"):
+            assert webtext.main_text(f'<div class="{name}"><{mark}><p>Short.</p><p>{prose}</p></{mark}></div><p>After.</p>') == f"Short. {kept}", name
+    for name in ("content has-sidebar", "sidebar-layout", "page-with-menu", "notice"):
+        assert webtext.main_text(f'<div class="{name}"><div class="menu"><a href=1>A</a></div><p>{prose}</p></div><div class="footer">The end of it.</div>') == kept, name
+        assert webtext.main_text(f'<main><h1>Title</h1><div class="{name}"><p>{prose}</p></div></main>') == f"Title {kept}", name
+    for wrap in ('<nav class="x">', "<aside>", '<div id="comments">', '<section class="related-posts">', "<div hidden>"):
+        end = wrap[1:].split()[0].strip(">")
+        assert webtext.main_text(f"<article><p>Kept.</p></article>{wrap}<article><p>{prose}</p></article></{end}>") == "Kept.", wrap
+    assert webtext.main_text(f'<div><p>{prose}</p></div><div class="cookie-consent"><p>{prose * 5}</p></div>') == kept
+
+
+def test_sections_of_an_article():
+    for part in ('section id="discussion"', 'section id="related-work"', 'div class="legal"', 'h2 id="search"', 'h2 id="comments"', 'div class="notice"', 'section id="cookies"', 'div class="teaser"'):
+        assert webtext.main_text(f"<article><p>One.</p><{part}>Two.</{part.split()[0]}><p>Three.</p></article>") == "One. Two. Three.", part
+    for part in ('section id="comments"', 'section class="related"', 'div class="related-articles"', 'div class="ads"', 'div class="userComments"', 'div class="mainMenu"'):
+        assert webtext.main_text(f"<article><p>One.</p><{part}>Two.</{part.split()[0]}><p>Three.</p></article>") == "One. Three.", part
+    assert webtext.main_text('<article><p>One.</p><div class="share">On <a href=1>this page</a></div></article>') == "One."
+
+
 def test_page_without_article_mark():
     words = "the cat of the house is in the garden and it was there for all of us to see "
     html = f"""<body><div class="menu"><a href=1>One</a></div><div><a href=2>Two</a> <a href=3>Three</a></div><h2>Heading</h2><div>{words * 4}</div>
