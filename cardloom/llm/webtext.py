@@ -6,8 +6,8 @@ by stop-word density and length. What stays open, short or middling blocks, take
 in pass two the label of the nearest decided neighbours. A wrapper put out by its
 names alone comes back at an article or main inside it, or if it holds most of
 the page's dense text; within an article only names of comments, notices,
-menus and advertising count. Where a page marks its article, blocks inside it are decided as text unless they are links, and blocks
-outside it are not text.
+menus and advertising count. Where a page marks its article, blocks inside it are decided as text, and blocks outside it are not
+text; blocks of links inside it go with the text of the article, but for menus.
 
 Cases: a null or empty page has an empty text. Broken markup is read as far as
 it goes: unclosed tags end with their container, an unclosed comment or script
@@ -87,6 +87,8 @@ STOP_WORDS = frozenset(
 )
 _WORD = re.compile(r"[^\W\d_]+")
 
+#: So many blocks of links in a row within an article, of so many code points on average at most, are a menu.
+RUN, RUN_SHORT = 3, 40
 #: Limits of pass one: share of stop words (high, low), code points (short, long), share of link text.
 STOP_HIGH, STOP_LOW, SHORT, LONG, LINKS, LINKS_IN_ARTICLE = 0.30, 0.15, 70, 200, 0.35, 0.75
 
@@ -96,7 +98,7 @@ class Block:
     text: str
     linked: float
     out: bool
-    article: bool
+    article: int  # the number of the article or main around it, 0 outside
     heading: bool
     label: str = ""
 
@@ -122,11 +124,11 @@ def blocks(html: str) -> list[Block]:
     done: list[Block] = []
     within: list[int] = []  # root of each block
     roots = [Root(0, 0)]
-    stack: list[tuple[str, bool, bool, int]] = []  # name, out, article, root
+    stack: list[tuple[str, bool, int, int]] = []  # name, out, article, root
     parts: list[str] = []
     linked = links = 0
-    out = article = heading = False
-    root = 0
+    out = heading = False
+    root = article = articles = 0
 
     def flush() -> None:
         nonlocal linked
@@ -147,7 +149,7 @@ def blocks(html: str) -> list[Block]:
 
     def settle() -> None:
         nonlocal out, article, root
-        out, article, root = stack[-1][1:] if stack else (False, False, 0)
+        out, article, root = stack[-1][1:] if stack else (False, 0, 0)
 
     at = 0
     while True:
@@ -210,7 +212,8 @@ def blocks(html: str) -> list[Block]:
         elif 0 < level < SURE:
             roots.append(Root(root, max(level, OTHERS if roots[root].level == OTHERS else 0)))
             root = len(roots) - 1
-        stack.append((name, out or level == SURE, article or marks, root))
+        articles += marks and not article
+        stack.append((name, out or level == SURE, article or (articles if marks else 0), root))
         settle()
         if name in RAW:
             end = re.compile(rf"</{name}\b", re.I).search(html, at)
@@ -239,7 +242,7 @@ def _settle(done: list[Block], within: list[int], roots: list[Root]) -> None:
         b.out = b.out or roots[root].out or roots[root].level == DOUBT and b.linked > LINKS
 
 
-def _around(name: str, attrs: str, article: bool) -> int:
+def _around(name: str, attrs: str, article: int) -> int:
     """How firmly an element stands around an article, by its name, class, id, role or by being hidden; 0 if it does not."""
     if name in OUT or name == "header" and not article:
         return SURE
@@ -284,6 +287,7 @@ def classify(page: list[Block]) -> list[Block]:
     marked = any(b.article and not b.out and b.linked <= LINKS_IN_ARTICLE for b in page)
     for b in page:
         b.label = _first(b, marked)
+    _links(page)
     if not any(b.label == "text" for b in page):
         for b in page:
             if b.label == "near":
@@ -302,11 +306,27 @@ def classify(page: list[Block]) -> list[Block]:
     return page
 
 
+def _links(page: list[Block]) -> None:
+    """Labels of blocks of links in articles: text in an article with text, but for menus, runs of several short ones."""
+    texts = {b.article for b in page if b.label == "text"}
+    run: list[Block] = []
+    for b in [*page, None]:
+        if b is not None and b.label == "link":
+            b.label = "text" if b.article in texts else "rest"
+            if not b.heading:
+                run.append(b)
+                continue
+        if len(run) >= RUN and sum(len(r.text) for r in run) <= RUN_SHORT * len(run):
+            for r in run:
+                r.label = "rest"
+        run = []
+
+
 def _first(b: Block, marked: bool) -> str:
     if b.out or "©" in b.text[:3]:
         return "rest"
     if marked:
-        return "text" if b.article and b.linked <= LINKS_IN_ARTICLE else "rest"
+        return "rest" if not b.article else "text" if b.linked <= LINKS_IN_ARTICLE else "link"
     if b.linked > LINKS:
         return "rest"
     if len(b.text) < SHORT:

@@ -54,6 +54,14 @@ def test_sections_of_an_article():
     assert webtext.main_text('<article><p>One.</p><div class="share">On <a href=1>this page</a></div></article>') == "One."
 
 
+def test_links_within_an_article():
+    entries = [f"A. Author and B. Author, On the matter of {w}, Journal of Matters" for w in ("one", "two", "three", "four")]
+    listed = "".join(f"<li><a href=1>{e}</a></li>" for e in entries)
+    html = f"""<h2><a href=0>Site</a></h2><article><h1><a href=0>Title</a></h1><p>First.</p><p><a href=1>A link by itself</a></p><p>Second.</p>
+    <ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul><p>Third.</p><ol>{listed}</ol></article><p><a href=5>Next</a></p>"""
+    assert webtext.main_text(html) == "Title First. A link by itself Second. Third. " + " ".join(entries)
+
+
 def test_page_without_article_mark():
     words = "the cat of the house is in the garden and it was there for all of us to see "
     html = f"""<body><div class="menu"><a href=1>One</a></div><div><a href=2>Two</a> <a href=3>Three</a></div><h2>Heading</h2><div>{words * 4}</div>
