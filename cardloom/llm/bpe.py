@@ -153,6 +153,23 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return map_rows(source, factory, f"`{id_col}` {source.dtypes[0][1]}, ids array<int>, n_tokens long")
 
 
+def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, ``ids array<int>``, ``n_tokens long``, ``decoded_sha256 string`` of each row: the ids, and the digest of the text decoded from them."""
+    shared = Shared(docs.sparkSession, read_vocabulary(path))
+    source = docs.select(F.col(id_col), F.col(text_col))
+
+    def factory():
+        c = shared.built("codec", Codec)
+
+        def row(key, text):
+            ids = c.encode(text or "")
+            return key, ids, len(ids), hashlib.sha256(c.decode(ids).encode()).hexdigest()
+
+        return row
+
+    return map_rows(source, factory, f"`{id_col}` {source.dtypes[0][1]}, ids array<int>, n_tokens long, decoded_sha256 string")
+
+
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``id_col``, ``text string`` of each row; a null list gives an empty text."""
     shared = Shared(encoded.sparkSession, read_vocabulary(path))

@@ -1,7 +1,8 @@
 """Pipeline from raw documents to the token ids of a mix.
 
 Each stage takes the documents its predecessor kept, as a table, and returns what
-it keeps with the columns of documents; the last returns token ids. Where
+it keeps with the columns of documents; the last returns token ids and decodes
+them. Where
 ``doc_id`` repeats, in the input or by the epochs of the mix, each row goes
 through for itself.
 """
@@ -46,13 +47,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document of the mix: doc_id, ids, n_tokens."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Token ids of each document of the mix, and the digest of the text decoded from them: doc_id, ids, n_tokens, decoded_sha256."""
+    return bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
     ("quality classifier", good_quality), ("n-gram Jaccard join", one_of_each_group), ("secret scans", without_secrets),
-    ("mixing to target weights", mix), ("BPE encoding", token_ids),
+    ("mixing to target weights", mix), ("BPE encoding and decoding", token_ids),
 ]
 
 

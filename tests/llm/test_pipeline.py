@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import public_tokenizers
@@ -48,6 +49,14 @@ def test_no_documents(spark, sf, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_last_stage_decodes(spark, sf, docs_of):
+    texts = {1: "Some words é 🎉\n  and more", 2: "", 3: None}
+    name, stage = corpus_pipeline.STAGES[-1]
+    got = {r.doc_id: (r.n_tokens, len(r.ids), r.decoded_sha256) for r in stage(spark, docs_of(list(texts.items())), sf).collect()}
+    assert {i: d for i, (_, _, d) in got.items()} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in texts.items()}
+    assert got[2][:2] == got[3][:2] == (0, 0) and got[1][0] == got[1][1] > 0
+
+
 def test_odd_rows_pass_through(spark, sf):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score double, size long, rid long"
     text = "Some words that are quite fine and stand here for a text of its own in the test. " * 3
