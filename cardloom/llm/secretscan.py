@@ -37,7 +37,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_VALUE = 6
 
 WINDOW = 20
-#: Least bits per character of a window that is a key; 97 to 99 % of the windows of random keys of a class have them.
+#: Least bits per character of a window that is a key; nineteen of twenty windows of random keys of a class, or more, have them.
 HEX_BITS, CASE_BITS, MIXED_BITS, KEY_BITS = 3.0, 3.4, 3.65, 3.8
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 #: What looks random and is none: UUIDs, paths of words, identifiers of at most 40 characters, counted-up characters.
