@@ -70,14 +70,15 @@ def window_bits(run: str, window: int = WINDOW) -> Iterator[float]:
     counts: dict[str, int] = {}
     total = 0.0
     for i, letter in enumerate(run):
-        c = counts.get(letter, 0)
-        counts[letter] = c + 1
-        total += weight[c + 1] - weight[c]
         if i >= window:
+            # the leaving character first: a count never exceeds the window
             gone = run[i - window]
             c = counts[gone]
             counts[gone] = c - 1
             total += weight[c - 1] - weight[c]
+        c = counts.get(letter, 0)
+        counts[letter] = c + 1
+        total += weight[c + 1] - weight[c]
         if i >= window - 1:
             yield math.log2(window) - total / window
 
@@ -135,12 +136,24 @@ def _pieces(over: list[int], taken: list[Span]) -> Iterator[tuple[int, int]]:
             joined[-1][1] = i + WINDOW
         else:
             joined.append([i, i + WINDOW])
+
+    def whole(a: int, b: int) -> bool:
+        first = bisect_left(over, a)
+        return first < len(over) and over[first] + WINDOW <= b
+
+    at = 0  # both lists are in the order of their starts
     for start, end in joined:
-        for _, s, e in [*(t for t in taken if t[1] < end and start < t[2]), ("", end, end)]:
-            first = bisect_left(over, start)
-            if first < len(over) and over[first] + WINDOW <= s:
+        while at < len(taken) and taken[at][2] <= start:
+            at += 1
+        for i in range(at, len(taken)):
+            _, s, e = taken[i]
+            if s >= end:
+                break
+            if whole(start, s):
                 yield start, s
             start = max(start, e)
+        if whole(start, end):
+            yield start, end
 
 
 def spans(text: str | None) -> tuple[list[Span], list[Span]]:
