@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm import bpe, fingerprints, language, mixing, ngramjoin, quality, secretscan, vectors, webtext, wordpiece
+from cardloom.llm import bpe, filteraudit, fingerprints, language, mixing, ngramjoin, quality, secretscan, vectors, webtext, wordpiece
 from cardloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,43 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = quality.held_out(folds=3, fold=1)
     return language.predicted(docs, language.fit(docs, ~kept), ["doc_id"]).select("doc_id", kept.alias("held_out"), "lang_pred", "score")
+
+
+@query("""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+f AS (
+  SELECT doc_id, part,
+         (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+         + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS fails
+  FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (
+  SELECT a.c || b.c || d.c || e.c || g.c AS filter_order FROM x a, x b, x d, x e, x g
+  WHERE len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5),
+s AS (
+  SELECT filter_order, step::INT AS step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+         list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))) AS earlier
+  FROM o, range(1, 6) r(step)),
+c AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER ((fails & (coalesce(earlier, 0)::INT | bit)) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER ((fails & bit) > 0 AND (fails & coalesce(earlier, 0)::INT) = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER ((fails & bit) > 0 AND (fails & coalesce(earlier, 0)::INT) > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (fails = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER ((fails & bit) > 0 AND (fails & coalesce(earlier, 0)::INT) = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER ((fails & bit) > 0 AND (fails & coalesce(earlier, 0)::INT) = 0), 0)::BIGINT AS toxic_lost
+  FROM m, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM c
+""")
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
