@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm import bpe, filteraudit, fingerprints, language, mixing, ngramjoin, quality, secretscan, vectors, webtext, wordpiece
+from cardloom.llm import bpe, filteraudit, fingerprints, language, mixing, ngramjoin, pii, quality, repair, secretscan, vectors, webtext, wordpiece
 from cardloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,14 @@ FROM c
 """)
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.fit(docs))
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(table(spark, sf_dir, "conversations"))
