@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the older default keeps no minimum and maximum in file footers, so no filter on a time could skip anything
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # masks the AES key should a caller ever pass it as a literal
     "spark.sql.redaction.string.regex": "(?i)aes_(en|de)crypt\\([^)]*\\)",
 }

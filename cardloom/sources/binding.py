@@ -2,7 +2,8 @@
 
 ``lineitem`` carries several different rows per (order, line). All are kept: the
 rows of a pair are numbered in the order of their other columns, and the number
-is part of the transaction id. A query that does not use the id loses the
+is part of the transaction id, without a limit of its own: what goes beyond a page
+continues above the ids of all pairs. A query that does not use the id loses the
 numbering by column pruning, and its filters reach the scan.
 """
 
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from cardloom.functions.exact import MONEY
 
 
-# An id has room for so many rows of one (order, line).
-ROWS_PER_LINE = 1000
+# Rows of one (order, line) whose ids stand together; further ones go to pages beyond the ids of all pairs.
+PAGE = 1000
 
 
 def money_text(x: Column) -> Column:
@@ -42,11 +43,11 @@ class Binding:
             "l_returnflag", "l_linestatus", "l_shipdate",
         ]
         number = F.row_number().over(Window.partitionBy(*pair).orderBy(*rest))
-        key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * ROWS_PER_LINE + number - 1
-        too_many = F.raise_error(F.lit(f"a line has more than {ROWS_PER_LINE} rows")).cast("bigint")
-        return self.given("lineitem").select(
-            *pair, *rest, F.when(number > ROWS_PER_LINE, too_many).otherwise(key).alias("id_transaction")
-        )
+        key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * PAGE
+        # read from one column, and only where the id is
+        pair_keys = self.given("lineitem").select(F.max(F.col("l_orderkey")).alias("top")).scalar()
+        page = F.floor((number - 1) / PAGE).cast("bigint") * ((pair_keys * 10 + 10) * PAGE)
+        return self.given("lineitem").select(*pair, *rest, (key + page + (number - 1) % PAGE).alias("id_transaction"))
 
     @cached_property
     def transaction(self) -> DataFrame:

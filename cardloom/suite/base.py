@@ -119,14 +119,15 @@ FRAUDS_SQL = "CAST(sum(CASE WHEN is_fraud = 'Y' THEN 1 ELSE 0 END) AS BIGINT)"
 
 MODEL_SQL = """
 WITH ln AS (
-  SELECT (l_orderkey * 10 + l_linenumber) * 1000 + row_number() OVER (
+  SELECT (l_orderkey * 10 + l_linenumber) * 1000 + (place - 1) % 1000
+         + ((place - 1) // 1000) * (((SELECT max(l_orderkey) FROM lineitem) * 10 + 10) * 1000) AS id_transaction,
+         l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+  FROM (SELECT *, row_number() OVER (
            PARTITION BY l_orderkey, l_linenumber
            ORDER BY l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST,
                     l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST,
-                    l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) - 1 AS id_transaction,
-         l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice,
-         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
-  FROM lineitem),
+                    l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS place FROM lineitem)),
 tx AS (
   SELECT id_transaction, l_orderkey AS id_carte, l_suppkey AS id_marchand,
          l_shipdate AS date_transaction, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
