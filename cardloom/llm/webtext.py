@@ -6,8 +6,9 @@ by stop-word density and length. What stays open, short or middling blocks, take
 in pass two the label of the nearest decided neighbours. A wrapper put out by its
 names alone comes back at an article or main inside it, or if it holds most of
 the page's dense text; within an article only names of comments, notices,
-menus and advertising count. Where a page marks its article, blocks inside it are decided as text, and blocks outside it are not
-text; blocks of links inside it go with the text of the article, but for menus.
+menus and advertising count. A page's mark of its article shifts the limits: inside, fewer stop words or less
+length make a block text, and what stays open goes by the article's own blocks; outside, none suffices. Blocks of links
+inside it go with the text of the article, but for menus.
 
 Cases: a null or empty page has an empty text. Broken markup is read as far as
 it goes: unclosed tags end with their container, an unclosed comment or script
@@ -26,12 +27,9 @@ from pyspark.sql import functions as F
 
 from cardloom.llm.common import map_rows
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"""
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
-    r"""|</?(?P<broken>[a-zA-Z][^\s/>]*)[^>]*>""",
-    re.S,
-)
+_NO_TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>""", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"""[>"']""")
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _SPACE = re.compile(r"\s+")
 
@@ -41,6 +39,8 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav object ol optgroup option p pre section select summary table "
     "tbody td template textarea tfoot th thead title tr ul".split()
 )
+#: Containers that the end tag of an element outside them, which is no block, does not close.
+BOUNDS = frozenset(("article", "main", "body", "td"))
 #: Elements whose content is no markup: read up to their end tag.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 #: Elements that never hold main text.
@@ -119,12 +119,81 @@ class Root:
     out: bool = True
 
 
+class Tags:
+    """Ends of tags. What was found open up to the end of the page is known from then on, so all searches together are linear."""
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.open: set[int] = set()  # quotes from which no tag ends
+
+    def end(self, at: int) -> int:
+        """Where the first ``>`` outside quotes from ``at`` on stands; -1 if there is none."""
+        passed = []
+        while at <= self.last:
+            found = _MARK.search(self.html, at)
+            if found is None:
+                break
+            if found.group() == ">":
+                return found.start()
+            quote = found.start()
+            if quote in self.open:
+                break
+            passed.append(quote)
+            closed = self.html.find(found.group(), quote + 1)
+            if closed < 0:
+                break
+            at = closed + 1
+        self.open.update(passed)
+        return -1
+
+
+class Stack:
+    """Open elements. Where each name, block and container stands last is kept, so no tag walks through them."""
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str, bool, int, int]] = []  # name, out, article, root
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.bounds: list[int] = []
+
+    def push(self, name: str, *rest) -> None:
+        at = len(self.items)
+        self.items.append((name, *rest))
+        self.places.setdefault(name, []).append(at)
+        if name in BLOCK:
+            self.blocks.append(at)
+        if name in BOUNDS:
+            self.bounds.append(at)
+
+    def cut(self, at: int) -> None:
+        """Closes the elements from place ``at`` on."""
+        while len(self.items) > at:
+            name = self.items.pop()[0]
+            self.places[name].pop()
+            for kept in (self.blocks, self.bounds):
+                if kept and kept[-1] == len(self.items):
+                    kept.pop()
+
+    def close(self, name: str) -> None:
+        """An end tag: closes its element, if one is open and, for what is no block, within the same container."""
+        places = self.places.get(name)
+        if places and (name in BLOCK or not self.bounds or self.bounds[-1] <= places[-1]):
+            self.cut(places[-1])
+
+    def imply(self, name: str) -> None:
+        """A block starts: a paragraph ends, and an element of a list or table before the next."""
+        if self.blocks:
+            last = self.items[self.blocks[-1]][0]
+            if last == "p" or last == name and name in ("li", "dd", "dt", "td", "th", "tr"):
+                self.cut(self.blocks[-1])
+
+
 def blocks(html: str) -> list[Block]:
     """The non-empty blocks of a page, in order."""
     done: list[Block] = []
     within: list[int] = []  # root of each block
     roots = [Root(0, 0)]
-    stack: list[tuple[str, bool, int, int]] = []  # name, out, article, root
+    stack, tags = Stack(), Tags(html)
     parts: list[str] = []
     linked = links = 0
     out = heading = False
@@ -149,7 +218,7 @@ def blocks(html: str) -> list[Block]:
 
     def settle() -> None:
         nonlocal out, article, root
-        out, article, root = stack[-1][1:] if stack else (False, 0, 0)
+        out, article, root = stack.items[-1][1:] if stack.items else (False, 0, 0)
 
     at = 0
     while True:
@@ -157,20 +226,25 @@ def blocks(html: str) -> list[Block]:
         if start < 0:
             add(html[at:])
             break
-        found = _TOKEN.match(html, start)
+        special = html.startswith(("<!", "<?"), start)
+        found = _NO_TAG.match(html, start) if special and (start < tags.last or html.startswith(("<!--", "<![CDATA["), start)) else None
+        if found is not None:
+            add(html[at:start])
+            at = found.end()
+            if found["cdata"]:
+                add(found["cdata"].replace("&", "&amp;"))
+            continue
+        found = _TAG.match(html, start) if start < tags.last else None
         if found is None:  # a lone sign
             add(html[at : start + 1])
             at = start + 1
             continue
         add(html[at:start])
-        at = found.end()
-        name = found["name"] or found["broken"]
-        if name is None:
-            if found["cdata"]:
-                add(found["cdata"].replace("&", "&amp;"))
-            continue
-        name = name.lower()
-        closing = bool(found["end"]) or html.startswith("</", start)
+        end = tags.end(found.end())
+        # a tag whose quotes don't close ends at the next sign
+        attrs = html[found.end() : end] if end >= 0 else ""
+        at = (end if end >= 0 else html.index(">", found.end())) + 1
+        name, closing = found[2].lower(), bool(found[1])
         if name == "a":
             links = 0 if closing else 1
             continue
@@ -181,12 +255,7 @@ def blocks(html: str) -> list[Block]:
         if closing:
             if name in BLOCK:
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-                if stack[i][0] in ("article", "main", "body", "td") and name not in BLOCK:
-                    break
+            stack.close(name)
             links = 0 if name in BLOCK else links
             heading = heading and name not in BLOCK
             settle()
@@ -195,16 +264,9 @@ def blocks(html: str) -> list[Block]:
             flush()
             heading = len(name) == 2 and name[0] == "h" and name[1] in "123456"
         if name in _ENDS_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ("p", name) and (stack[i][0] == "p" or name in ("li", "dd", "dt", "td", "th", "tr")):
-                    if stack[i][0] == "p" or not any(s[0] in ("ul", "ol", "dl", "table") for s in stack[i + 1 :]):
-                        del stack[i:]
-                    break
-                if stack[i][0] in BLOCK:
-                    break
+            stack.imply(name)
             settle()
             links = 0
-        attrs = found["attrs"] or ""
         level = _around(name, attrs, article)
         marks = name in ("article", "main") or "articleBody" in attrs or 'role="main"' in attrs
         if marks and level <= NAMED and (roots[root].level < OTHERS or name == "main"):
@@ -213,7 +275,7 @@ def blocks(html: str) -> list[Block]:
             roots.append(Root(root, max(level, OTHERS if roots[root].level == OTHERS else 0)))
             root = len(roots) - 1
         articles += marks and not article
-        stack.append((name, out or level == SURE, article or (articles if marks else 0), root))
+        stack.push(name, out or level == SURE, article or (articles if marks else 0), root)
         settle()
         if name in RAW:
             end = re.compile(rf"</{name}\b", re.I).search(html, at)
@@ -292,23 +354,31 @@ def classify(page: list[Block]) -> list[Block]:
         for b in page:
             if b.label == "near":
                 b.label = "text"
-    # what is out by its place says nothing about the blocks beside that place
-    decided = [(i, b.label) for i, b in enumerate(page) if b.label in ("text", "rest") and not b.out]
-    at = 0
+    # what is out by its place says nothing about the blocks beside that place; an article's blocks go by its own
+    decided: dict[int, list[tuple[int, str]]] = {}
+    group = (lambda b: b.article) if marked else (lambda b: 0)
+    for i, b in enumerate(page):
+        if b.label in ("text", "rest") and not b.out:
+            decided.setdefault(group(b), []).append((i, b.label))
+    passed = dict.fromkeys(decided, 0)
     for i, b in enumerate(page):
-        while at < len(decided) and decided[at][0] < i:
-            at += 1
         if b.label in ("text", "rest"):
+            if not b.out:
+                passed[group(b)] += 1
             continue
-        before = decided[at - 1] if at else None
-        after = decided[at] if at < len(decided) else None
-        b.label = _second(b, i, before, after)
+        mine, at = decided.get(group(b), []), passed.get(group(b), 0)
+        before = mine[at - 1] if at else None
+        after = mine[at] if at < len(mine) else None
+        if marked:  # within an article with text, what stands between two menus is none
+            b.label = "rest" if before and after and before[1] == after[1] == "rest" and any(t == "text" for _, t in mine) else "text"
+        else:
+            b.label = _second(b, i, before, after)
     return page
 
 
 def _links(page: list[Block]) -> None:
     """Labels of blocks of links in articles: text in an article with text, but for menus, runs of several short ones."""
-    texts = {b.article for b in page if b.label == "text"}
+    texts = {b.article for b in page if b.label in ("text", "near", "short") and b.article}
     run: list[Block] = []
     for b in [*page, None]:
         if b is not None and b.label == "link":
@@ -325,13 +395,18 @@ def _links(page: list[Block]) -> None:
 def _first(b: Block, marked: bool) -> str:
     if b.out or "©" in b.text[:3]:
         return "rest"
-    if marked:
-        return "rest" if not b.article else "text" if b.linked <= LINKS_IN_ARTICLE else "link"
-    if b.linked > LINKS:
+    if marked and not b.article:
+        return "rest"
+    if marked and b.linked > LINKS_IN_ARTICLE:
+        return "link"
+    # the mark of an article lowers the limits: all but bare short blocks and thin ones is text at once
+    if not marked and b.linked > LINKS:
         return "rest"
     if len(b.text) < SHORT:
-        return "rest" if b.linked else "short"
+        return "rest" if b.linked and not marked else "short"
     stops = _stops(b.text)
+    if marked:
+        return "text" if stops >= STOP_LOW or len(b.text) >= LONG else "near"
     if stops >= STOP_HIGH:
         return "text" if len(b.text) >= LONG else "near"
     if stops >= STOP_LOW or not b.linked and len(b.text) >= LONG:

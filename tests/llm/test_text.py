@@ -78,6 +78,27 @@ def test_long_and_broken_pages():
     webtext.main_text("<" * 5000 + "<!--" * 10)
 
 
+def test_broken_pages_of_a_megabyte():
+    for unit, n in (("<div>", 100_000), ("<a href='x ", 100_000), ("<a '>'", 170_000), ("<b>", 170_000), ("<!x", 330_000), ("<a", 500_000), ("x", 1_000_000), ("<p>", 330_000), ("&amp;", 200_000)):
+        for tail in ("", "</b>" * 100_000, "<div></div>" * 50_000, ">"):
+            start = time.perf_counter()
+            webtext.main_text(unit * n + tail)
+            assert time.perf_counter() - start < 5, (unit, tail[:5])
+    start = time.perf_counter()
+    webtext.main_text("<b><td>" + "<div>" * 100_000 + "</b>" * 100_000)
+    assert time.perf_counter() - start < 5
+
+
+def test_method_decides_inside_marks():
+    prose = "The cat of the house is in the garden and it was there for all of us to see. " * 4
+    page = webtext.classify(webtext.blocks(f"<div><p>Side.</p></div><article><h1>Title</h1><p>{prose}</p><p>Short.</p></article><p>{prose}</p>"))
+    assert [b.label for b in page] == ["rest", "text", "text", "text", "rest"]
+    assert [webtext._first(b, True) for b in page] == ["rest", "short", "text", "short", "rest"]
+    # an article of short blocks only is text; stray end tags and unclosed quotes change nothing
+    assert webtext.main_text("<p>Side.</p><article><p>One.</b><p>Two.</article>") == "One. Two."
+    assert webtext.main_text("<article><p title='x>One.</p></article>") == "One."
+
+
 def test_pages_frame(spark):
     frame = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "x", "")], "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     got = {(r.page_id, r.url, len(r.text), r.n_chars) for r in webtext.extract(frame).collect()}
