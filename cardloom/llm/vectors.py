@@ -1,7 +1,10 @@
 """Near-duplicate embeddings.
 
-Method: epsilon grid order join. Unit vectors are projected onto their leading
-principal axes, a projection never lengthens a distance, and sorted by label and
+Method: epsilon grid order join. Unit vectors are projected onto leading principal
+axes, found for all vectors in one space of ``FOLD`` dimensions (longer vectors are
+folded into it: sums of every ``FOLD``-th component, with signs, scaled so that the
+fold is a projection, too); a projection never lengthens a distance. They are
+sorted by label and
 by the cells of a grid with side epsilon on these axes. The sorted sequence is
 cut into blocks. Sequence intervals are joined by recursion, level by level: a
 pair of intervals goes on to its parts only if their boxes on the axes are within
@@ -39,8 +42,8 @@ COSINE = 0.93
 GRID_AXES, BOX_AXES = 3, 8
 #: Vectors in a block, side of a product inside a task, parts of an interval per level (as a power of two).
 BLOCK, LEAF, FAN_BITS = 1024, 256, 4
-#: Axes are fitted for the most frequent vector lengths, up to this length; others are joined without boxes.
-AXES_LENGTHS, MAX_AXES_DIM = 8, 1024
+#: Dimensions in which the axes are found, whatever the vectors' length.
+FOLD = 64
 
 
 def epsilon(cosine: float) -> float:
@@ -69,43 +72,44 @@ def _units(vectors: DataFrame) -> DataFrame:
     return map_rows(vectors.select("rid", "vec_id", "label", "vector"), lambda: row, f"rid long, vec_id {kinds['vec_id']}, label {kinds['label']}, dim int, unit binary")
 
 
-def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
-    """For each vector length the leading axes of the second moments over all vectors, as rows.
+def folded(units: np.ndarray) -> np.ndarray:
+    """Rows in ``FOLD`` dimensions: a projection onto orthonormal directions, each over every ``FOLD``-th component."""
+    n, dim = units.shape
+    depth = -(-dim // FOLD)
+    out = np.zeros((n, depth * FOLD))
+    out[:, :dim] = units
+    if depth == 1:
+        return out
+    at = np.arange(depth * FOLD, dtype=np.uint64)
+    signs = 1.0 - 2.0 * ((at * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)).astype(np.float64)
+    held = np.bincount(np.arange(dim) % FOLD, minlength=FOLD)
+    return (out * signs).reshape(n, depth, FOLD).sum(axis=1) / np.sqrt(held)
 
-    Tasks give one matrix of sums per length; their sums have dim * dim numbers, whatever the number of vectors.
-    """
-    counts = classes.where(F.col("dim") <= MAX_AXES_DIM).groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
-    lengths = [r.dim for r in counts.orderBy(F.desc("n"), "dim").limit(AXES_LENGTHS).collect()]
-    if not lengths:
-        return {}
-    out = arrow_schema("dim int, at int, total double")
+
+def principal_axes(classes: DataFrame) -> np.ndarray:
+    """Leading axes of the second moments over all folded vectors, as rows. A task gives one matrix of FOLD * FOLD sums."""
+    out = arrow_schema("at int, total double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        total = np.zeros((FOLD, FOLD))
         for batch in batches:
             dims = batch.column(0).to_numpy(zero_copy_only=False)
             units = batch.column(1)
             for dim in np.unique(dims):
-                m = np.frombuffer(b"".join(units[int(i)].as_py() for i in np.flatnonzero(dims == dim))).reshape(-1, dim)
-                sums[int(dim)] = sums.get(int(dim), 0) + m.T @ m
-        for dim, total in sums.items():
-            flat = total.ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flat), dim, dtype=np.int32)), pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], schema=out)
+                m = folded(np.frombuffer(b"".join(units[int(i)].as_py() for i in np.flatnonzero(dims == dim))).reshape(-1, dim))
+                total += m.T @ m
+        flat = total.ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], schema=out)
 
-    moments = map_batches(classes.where(F.col("dim").isin(*lengths)).select("dim", "unit"), run, "dim int, at int, total double").groupBy("dim", "at").agg(F.sum("total").alias("total"))
-    rows = moments.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("at", "total"))).alias("m")).collect()
-    axes = {}
-    for r in rows:
-        matrix = np.array([x.total for x in r.m]).reshape(r.dim, r.dim)
-        axes[r.dim] = np.ascontiguousarray(np.linalg.eigh((matrix + matrix.T) / 2)[1][:, ::-1].T[:BOX_AXES])
-    return axes
+    total = np.zeros(FOLD * FOLD)
+    for r in map_batches(classes.select("dim", "unit"), run, "at int, total double").groupBy("at").agg(F.sum("total").alias("total")).collect():
+        total[r["at"]] = r.total
+    matrix = total.reshape(FOLD, FOLD)
+    return np.ascontiguousarray(np.linalg.eigh((matrix + matrix.T) / 2)[1][:, ::-1].T[:BOX_AXES])
 
 
-def _projected(units: np.ndarray, axes: np.ndarray | None) -> np.ndarray:
-    out = np.zeros((len(units), BOX_AXES))
-    if axes is not None:
-        out[:, : len(axes)] = units @ axes.T
-    return out
+def _projected(units: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    return folded(units) @ axes.T
 
 
 def _blocks(classes: DataFrame, axes: Shared, eps: float) -> DataFrame:
@@ -118,7 +122,7 @@ def _blocks(classes: DataFrame, axes: Shared, eps: float) -> DataFrame:
         known = axes.value
 
         def row(class_id, label, dim, copies, unit):
-            y = _projected(np.frombuffer(unit)[None, :], known.get(dim))[0]
+            y = _projected(np.frombuffer(unit)[None, :], known)[0]
             return class_id, label, dim, copies, unit, *(int(c) for c in np.floor(y[:GRID_AXES] / eps))
 
         return row
@@ -137,7 +141,7 @@ def _blocks(classes: DataFrame, axes: Shared, eps: float) -> DataFrame:
         def block():
             _, label, dim, _, _ = held[0]
             units = np.frombuffer(b"".join(h[4] for h in held)).reshape(-1, dim)
-            y = _projected(units, known.get(dim))
+            y = _projected(units, known)
             ids, copies = np.array([h[0] for h in held], dtype=np.int64), np.array([h[3] for h in held], dtype=np.int64)
             return label, dim, part, seq, y.min(axis=0).tolist(), y.max(axis=0).tolist(), ids.tobytes(), copies.tobytes(), units.tobytes()
 
@@ -226,7 +230,7 @@ def links(blocks: DataFrame, pairs: DataFrame, axes: Shared, cosine: float, eps:
             for at in range(batch.num_rows):
                 dim, same, ids_a, copies_a, units_a, ids_b, copies_b, units_b = (c[at].as_py() for c in batch.columns)
                 a, b = np.frombuffer(units_a).reshape(-1, dim), np.frombuffer(units_b).reshape(-1, dim)
-                ya, yb = _projected(a, known.get(dim)), _projected(b, known.get(dim))
+                ya, yb = _projected(a, known), _projected(b, known)
                 found = list(linked(a, b, ya, yb, same, cosine, eps))
                 left, right = (np.concatenate(x) for x in zip(*found, strict=True)) if found else ((), ())
                 if not len(left):

@@ -135,6 +135,36 @@ def test_vectors_against_brute_force(spark, monkeypatch, block):
     assert max(links) > 3
 
 
+def test_folds_are_projections():
+    for dim in (1, 3, 64, 65, 100, 128, 1536):
+        m = vectors.folded(np.eye(dim))
+        n = min(dim, vectors.FOLD)
+        assert np.allclose((m.T @ m)[:n, :n], np.eye(n)) and not m[:, n:].any()
+
+
+def test_vectors_of_any_length(spark, monkeypatch):
+    """Long vectors and many lengths: all have boxes, and the result is that of brute force."""
+    monkeypatch.setattr(vectors, "BLOCK", 4)
+    monkeypatch.setattr(vectors, "LEAF", 2)
+    rng = np.random.default_rng(4)
+    rows = []
+    for dim in (1536, 65, *range(2, 14)):
+        centres = rng.normal(size=(5, dim))
+        rows += [(centres[k % 2] + rng.normal(size=dim) * rng.choice((0.05, 0.05, 0.45)), k % 4 // 2) for k in range(16 if dim > 64 else 4)]
+    unit = [v / np.linalg.norm(v) for v, _ in rows]
+    linked = lambda i, j: len(unit[i]) == len(unit[j]) and rows[i][1] == rows[j][1] and unit[i] @ unit[j] >= 0.93
+    root, links = groups(len(rows), linked)
+    frame = spark.createDataFrame([(i, v.tolist(), label) for i, (v, label) in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect()}
+    assert got == {i: (links[i], root[i]) for i in range(len(rows))} and max(links) > 2
+    # the axes of long vectors part what is apart
+    axes = vectors.principal_axes(frame.selectExpr("size(embedding) as dim", "embedding").rdd.map(lambda r: (r.dim, bytearray(np.array(r.embedding).tobytes()))).toDF("dim int, unit binary"))
+    long = np.array([u for u in unit if len(u) == 1536])
+    y = vectors._projected(long, axes)
+    gaps = np.linalg.norm(y[:, None] - y[None], axis=2)
+    assert (gaps <= np.linalg.norm(long[:, None] - long[None], axis=2) + 1e-9).all() and gaps.max() > 0.2
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_duplicates(empty).count() == 0
