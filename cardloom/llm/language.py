@@ -5,11 +5,14 @@ n-grams, trained by follow-the-regularised-leader with elastic-net penalties, an
 calibrated with one temperature on rows kept out of that training. Document
 frequencies are counted over all rows that may be learned from; the weights are
 learned from at most ``SAMPLE`` of them, taken in turn from the languages by the
-smallest hash of the id. Every row is predicted.
+smallest hash of the id. Every row is predicted. What the one task that learns gets
+is a sparse vector per row, at most 12 bytes a bucket however long the text is; its
+state is two numbers per bucket and language of the sample, and the model that is
+broadcast holds the weights that are not zero.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0. Texts are
 read whole. Rows without a language teach nothing; where an id has several texts
-in a language the largest teaches. With nothing to learn from all rows are
+in a language the largest teaches, and it counts as one when the sample is chosen. With nothing to learn from all rows are
 ``und``. Repeated rows are predicted each for itself. Extra columns are left out.
 An empty table gives an empty table.
 """
@@ -77,15 +80,19 @@ class Model:
         return self.languages[best], float(p[best])
 
     def to_bytes(self) -> bytes:
-        head = json.dumps({"languages": self.languages, "temperature": self.temperature}).encode()
-        return len(head).to_bytes(8, "big") + head + np.concatenate((self.idf, self.weights.ravel())).astype(np.float64).tobytes()
+        at = np.flatnonzero(self.weights)
+        head = json.dumps({"languages": self.languages, "temperature": self.temperature, "weights": len(at)}).encode()
+        parts = (self.idf.astype(np.float64), at.astype(np.int64), self.weights.ravel()[at].astype(np.float64))
+        return len(head).to_bytes(8, "big") + head + b"".join(p.tobytes() for p in parts)
 
     @staticmethod
     def from_bytes(data: bytes) -> Model:
         end = 8 + int.from_bytes(data[:8], "big")
         head = json.loads(data[8:end])
-        flat = np.frombuffer(data[end:])
-        return Model(head["languages"], flat[:BUCKETS], flat[BUCKETS:].reshape(-1, BUCKETS), head["temperature"])
+        middle = end + 8 * BUCKETS
+        weights = np.zeros(len(head["languages"]) * BUCKETS)
+        weights[np.frombuffer(data, np.int64, head["weights"], middle)] = np.frombuffer(data, np.float64, head["weights"], middle + 8 * head["weights"])
+        return Model(head["languages"], np.frombuffer(data, np.float64, BUCKETS, end), weights.reshape(-1, BUCKETS), head["temperature"])
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -93,12 +100,12 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def train(rows: list[tuple[str, str]], idf: np.ndarray) -> Model:
-    """Model of (text, language) rows; the same rows in the same order give the same model."""
-    languages = sorted({language for _, language in rows})
+def train(rows: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray) -> Model:
+    """Model of (buckets, values, language) rows; the same rows in the same order give the same model."""
+    languages = sorted({language for *_, language in rows})
     number = {language: i for i, language in enumerate(languages)}
     model = Model(languages, idf, np.zeros((len(languages), BUCKETS)))
-    vectors = [(*model.vector(text), number[language]) for text, language in rows]
+    vectors = [(at, x, number[language]) for at, x, language in rows]
     kept = [i for i in range(len(rows)) if i % KEEP == KEEP - 1]
     learned = [i for i in range(len(rows)) if i % KEEP != KEEP - 1]
     z, n = np.zeros((len(languages), BUCKETS)), np.zeros((len(languages), BUCKETS))
@@ -177,23 +184,33 @@ def fit(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id", te
         rows = rows.where(where)
     idf = _document_frequencies(rows)
     # counts per slice of the hash tell from which slice on a language has enough, so few rows beyond ``sample`` are ranked
-    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).withColumn("slice", F.shiftrightunsigned("hash", 64 - SLICE_BITS))
+    hashed = rows.select("doc_id", "lang").distinct().withColumn("hash", F.xxhash64("doc_id")).withColumn("slice", F.shiftrightunsigned("hash", 64 - SLICE_BITS))
     counts = hashed.groupBy("lang", "slice").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     last = written(counts.withColumn("before", before).where(F.col("before") < sample).groupBy("lang").agg(F.max("slice").alias("last")), "language-slices")
     turn = Window.partitionBy("lang").orderBy("slice", "hash", "doc_id")
     chosen = hashed.join(last, "lang").where("slice <= last").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= sample)
-    chosen = chosen.orderBy("turn", "lang", "doc_id").limit(sample).select("doc_id", "lang").distinct()
+    chosen = chosen.orderBy("turn", "lang", "doc_id").limit(sample).select("doc_id", "lang")
     # at most ``sample`` rows of an id and a language
     texts = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.max("text").alias("text"))
 
+    spark = docs.sparkSession
+    shared = Shared(spark, idf)
+
+    def row(key, language, text):
+        at, x = Model([], shared.value, np.zeros((0, BUCKETS))).vector(text)
+        return key, language, at.astype(np.int32).tobytes(), x.tobytes()
+
+    vectors = map_rows(texts, lambda: row, f"doc_id {dict(texts.dtypes)['doc_id']}, lang string, at binary, x binary")
+
     def learn(found: pd.DataFrame) -> pd.DataFrame:
         found = found.sort_values(["doc_id", "lang"])
-        return pd.DataFrame({"model": [train(list(zip(found["text"], found["lang"], strict=True)), idf).to_bytes()]})
+        parsed = [(np.frombuffer(a, np.int32), np.frombuffer(x), language) for a, x, language in zip(found["at"], found["x"], found["lang"], strict=True)]
+        return pd.DataFrame({"model": [train(parsed, shared.value).to_bytes()]})
 
-    python_ready(docs.sparkSession)
+    python_ready(spark)
     # one task learns from the bounded sample
-    got = texts.groupBy(F.lit("all").alias("all")).applyInPandas(learn, "model binary").collect()
+    got = vectors.groupBy(F.lit("all").alias("all")).applyInPandas(learn, "model binary").collect()
     return Model.from_bytes(got[0].model) if got else Model([], idf, np.zeros((0, BUCKETS)))
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm import bpe, filteraudit, fingerprints, language, mixing, ngramjoin, pii, quality, repair, secretscan, vectors, webtext, wordpiece
+from cardloom.llm import bpe, filteraudit, fingerprints, language, mixing, ngramjoin, pii, quality, repair, repair_sql, secretscan, vectors, webtext, wordpiece
 from cardloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +149,6 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(docs, pii.fit(docs))
 
 
-@query()
+@query(repair_sql.SQL)
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(table(spark, sf_dir, "conversations"))

@@ -114,3 +114,79 @@ def test_mixing_against_brute_force(spark, docs_of, seed):
     words = sum(len(r.text.split()) for r in mix.collect())
     assert words == sum(g[4] for g in got)
     assert mixing.shares(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_language_steps_against_plain_formulas():
+    """The steps of the regularised leader and the temperature, coordinate by coordinate."""
+    rng = np.random.default_rng(3)
+    idf = np.ones(language.BUCKETS)
+    rows = []
+    for i in range(60):
+        y = "abc"[i % 3]
+        at = np.sort(rng.choice(12, 4, replace=False)).astype(np.int32)
+        at = np.unique(np.concatenate((at, [20 + i % 3])).astype(np.int32))
+        x = rng.random(len(at)) + 0.5
+        rows.append((at, x / np.sqrt(x @ x), y))
+    model = language.train(rows, idf)
+
+    z, n = {}, {}
+
+    def weight(c, b):
+        if abs(z.get((c, b), 0.0)) <= language.L1:
+            return 0.0
+        v = z[c, b]
+        return (np.sign(v) * language.L1 - v) / ((language.BETA + np.sqrt(n.get((c, b), 0.0))) / language.ALPHA + language.L2)
+
+    learned = [i for i in range(60) if i % language.KEEP != language.KEEP - 1]
+    order = np.random.default_rng(11)
+    for _ in range(language.PASSES):
+        for i in order.permutation(learned):
+            at, x, y = rows[i]
+            w = [[weight(c, b) for b in at] for c in range(3)]
+            raw = [sum(a * v for a, v in zip(line, x)) for line in w]
+            top = max(raw)
+            p = [np.exp(r - top) for r in raw]
+            p = [v / sum(p) for v in p]
+            for c in range(3):
+                for k, b in enumerate(at):
+                    g = (p[c] - ("abc"[c] == y)) * x[k]
+                    before = n.get((c, b), 0.0)
+                    z[c, b] = z.get((c, b), 0.0) + g - (np.sqrt(before + g * g) - np.sqrt(before)) / language.ALPHA * w[c][k]
+                    n[c, b] = before + g * g
+    for c in range(3):
+        for b in range(30):
+            assert abs(model.weights[c, b] - weight(c, b)) < 1e-9
+    assert (model.weights == 0).mean() > 0.99 and model.weights.any()
+
+    kept = [i for i in range(60) if i % language.KEEP == language.KEEP - 1]
+
+    def loss(t):
+        other, total = 1 / (len(kept) + 2), 0.0
+        for i in kept:
+            at, x, y = rows[i]
+            logs = np.log(language.softmax(model.weights[:, at] @ x / t))
+            k = "abc".index(y)
+            total -= (1 - other) * logs[k] + other * (logs.sum() - logs[k]) / 2
+        return total
+
+    assert loss(model.temperature) <= min(loss(t) for t in np.exp(np.linspace(np.log(0.05), np.log(20), 400))) + 1e-6
+    again = language.Model.from_bytes(model.to_bytes())
+    assert (again.weights == model.weights).all() and again.temperature == model.temperature and (again.idf == idf).all()
+
+
+def test_language_vectors_and_repeated_ids(spark, docs_of):
+    texts = ["der Hund und die Katze", "the dog and the cat", "un chien et le chat", "the the the"]
+    rows = [(i, texts[i % 4] + f" {'x' * (i % 3)}", ["de", "en", "fr", "en"][i % 4]) for i in range(40)]
+    # one id holds most rows, and a language of its own
+    rows += [(7, f"ein langer deutscher Text {i}", "de") for i in range(300)] + [(i, "el perro y el gato", "es") for i in range(100, 110)]
+    docs = docs_of(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, sample=30)
+    assert model.languages == ["de", "en", "es", "fr"]
+    seen = [language.counts(t)[0] for _, t, _ in rows]
+    for b in {*seen[0].tolist(), *seen[-1].tolist()}:
+        assert abs(model.idf[b] - (np.log((1 + len(rows)) / (1 + sum(b in at for at in seen))) + 1)) < 1e-9
+    at, x = model.vector("the the dog")
+    found, tf = language.counts("the the dog")
+    raw = np.array([(1 + np.log(k)) * model.idf[b] for b, k in zip(found, tf)])
+    assert (at == found).all() and np.allclose(x, raw / np.sqrt((raw**2).sum()))
+    assert {r.lang_pred for r in language.predicted(docs.where("doc_id >= 100"), model, ["doc_id"]).collect()} == {"es"}
