@@ -152,6 +152,18 @@ class Deltas:
         rows = self.category.read(before=batch).unionByName(sums).unionByName(moved)
         self.category.write(rows.groupBy("code_mcc").agg(*[F.sum(c).alias(c) for c in (*SUMS, "cards")]), batch)
 
+    def changed_cards(self, batch: str) -> DataFrame:
+        """Cards that a batch touched, with their transactions after it as ``figure`` (null: none left)."""
+        rows = self.spark.read.parquet(f"{self.root}/changes/{batch}")
+        cards = rows.select(F.explode(F.array("old.id_carte", "new.id_carte")).alias("id_carte")).where("id_carte is not null").distinct()
+        parts = self.card.touched(cards)
+        now = self.card.read(before=f"{batch}\0", parts=parts).where("n > 0")
+        return cards.join(now, "id_carte", "left").select(F.col("id_carte").alias("key"), F.col("n").alias("figure"))
+
+    def all_cards(self, batch: str) -> DataFrame:
+        """All cards after a batch, as ``changed_cards`` gives them."""
+        return self.card.read(before=f"{batch}\0").where("n > 0 and id_carte is not null").select(F.col("id_carte").alias("key"), F.col("n").alias("figure"))
+
     # served ----------------------------------------------------------------
 
     def card_datamart(self) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.operators import datamarts as d
+from cardloom.operators.skew import fits_broadcast
 from cardloom.session import path_exists
 from cardloom.sources import tables
+from cardloom.sources.versions import Versions
 
 # Refresh order.
 ORDER = ("card", "daily", "category")
@@ -25,13 +28,47 @@ def build(name: str, t: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"datamart must be one of {ORDER}")
 
 
+def publish(df: DataFrame, path: str, version: str | None = None) -> None:
+    """Writes a datamart beside the one that is served and switches whole: readers meet the former or the new one."""
+    Versions(df.sparkSession, path).write(df, version or f"{time.time_ns():020d}")
+
+
 def refresh(name: str, t: dict[str, DataFrame], gold: str) -> None:
-    tables.overwrite(build(name, t), f"{gold}/{name}")
+    publish(build(name, t), f"{gold}/{name}")
 
 
 def refresh_all(t: dict[str, DataFrame], gold: str) -> None:
-    for name in ORDER:
-        refresh(name, t, gold)
+    """The three datamarts from one read of the fact and one label join.
+
+    What they share is stored first: volumes per (card, day, category), a row or
+    less per transaction. A merchant table above the broadcast threshold meets rows
+    reduced to (card, day, merchant).
+    """
+    version = f"{time.time_ns():020d}"
+    shared = f"{gold}/shared/{version}"
+    spark = t["transaction"].sparkSession
+    rows = d.labelled(t["transaction"].select("id_transaction", "id_carte", "situation_date", "id_marchand", "amount"), t["label_fraude"])
+    codes = t["marchand"].select("id_marchand", "code_mcc")
+    keys = ["id_carte", "situation_date"]
+    if fits_broadcast(t["marchand"]):
+        groups = d._volume(rows.join(F.broadcast(codes), "id_marchand", "left"), [*keys, "code_mcc"], "n")
+    else:
+        groups = d._volume(rows, [*keys, "id_marchand"], "n").join(codes, "id_marchand", "left").drop("id_marchand")
+    groups.write.mode("overwrite").parquet(shared)
+    groups = spark.read.parquet(shared)
+
+    def sums(df: DataFrame, by: list[str], count_name: str) -> DataFrame:
+        return df.groupBy(*by).agg(
+            F.sum("n").alias(count_name), F.sum("total_amount").cast("decimal(22,2)").alias("total_amount"),
+            F.sum("_nb_amounts").alias("_nb_amounts"), F.sum("nb_fraudes").alias("nb_fraudes"),
+        )
+
+    publish(d._finished(sums(groups, ["id_carte"], "nb_transactions"), ["id_carte"], "nb_transactions"), f"{gold}/card", version)
+    publish(d._finished(sums(groups, ["situation_date"], "nb_tx"), ["situation_date"], "nb_tx"), f"{gold}/daily", version)
+    pairs = groups.where("code_mcc is not null").groupBy("code_mcc", "id_carte").agg(
+        F.sum("n").alias("n"), F.sum("total_amount").alias("s"), F.sum("_nb_amounts").alias("na")
+    )
+    publish(d.category_totals(pairs, t["mcc"]), f"{gold}/category", version)
 
 
 def refresh_days(t: dict[str, DataFrame], gold: str, first: date, last: date) -> None:
@@ -123,5 +160,5 @@ def _state(spark: SparkSession, gold: str, kind: str, batch_id: str) -> DataFram
 
 
 def read(spark: SparkSession, gold: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{gold}/{name}")
-
+    stored = Versions(spark, f"{gold}/{name}")
+    return stored.read() if stored.versions() else spark.read.parquet(f"{gold}/{name}")

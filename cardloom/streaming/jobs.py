@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from cardloom.operators.quality import valid_requests
 
 WINDOW = "5 minutes"
 LATE = "10 minutes"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -52,6 +56,29 @@ def scored(stream: DataFrame, model: PipelineModel, *keep: str) -> DataFrame:
     return score(model, valid_requests(stream), *keep)
 
 
+def once(stream: DataFrame, key: str, event_time: str = "date_transaction", delay: str = "1 day") -> DataFrame:
+    """Each ``key`` once, although the source repeats: the state remembers a key until its time is ``delay`` behind the newest.
+
+    A repetition that comes later than that is late and dropped as such, so it does not come through, either; so
+    is a first row that late, which ``delay`` must therefore allow for. The state is bounded by the keys of ``delay``.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+
+
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, outside the heap; the session's setting comes back afterwards."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Appends to Parquet, each row once. Without interval: all that is there now, then ends.
 

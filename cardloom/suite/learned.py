@@ -6,6 +6,7 @@ import json
 from datetime import datetime
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -258,3 +259,60 @@ def scored_by_given_model(m: Model):
     requests = m.requests.withColumn("amount", amount)
     fitted = model.given_logistic(m.spark, {"amount": 0.25}, 0.0)
     return model.score(fitted, requests, "id_transaction").drop("predicted_at", "features_used", "model_version", "model_type")
+
+
+_GIVEN_BATCH = "1 / (1 + exp(-(0.00002 * amount - 0.5 + 0.01 * current_age)))"
+
+
+@query("batch_prediction_given_model", f"""
+SELECT CASE WHEN p < 0.3 THEN 'LOW' WHEN p < 0.7 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level, count(*) AS nb, round(avg(round(p, 4)), 6) AS moyenne
+FROM (SELECT {_GIVEN_BATCH} AS p FROM (SELECT {_FEATURES_SQL} FROM flat)) GROUP BY 1""")
+def batch_prediction_given_model(m: Model):
+    """The whole document table scored by a logistic model with given weights."""
+    fitted = model.given_logistic(m.spark, {"amount": 0.00002, "current_age": 0.01}, -0.5)
+    rows = model.score(fitted, features.document_features(m.docs, "id_transaction"), "id_transaction")
+    return rows.groupBy("risk_level").agg(F.count(F.lit(1)).alias("nb"), F.round(F.avg("fraud_probability"), 6).alias("moyenne"))
+
+
+@query("encoded_features", f"""
+, rows_of AS (SELECT {_FEATURES_SQL} FROM flat WHERE is_fraud IS NOT NULL),
+u AS (SELECT use_chip, row_number() OVER (ORDER BY use_chip) - 1 AS c FROM (SELECT DISTINCT use_chip FROM rows_of)),
+s AS (SELECT merchant_state, row_number() OVER (ORDER BY merchant_state) - 1 AS c FROM (SELECT DISTINCT merchant_state FROM rows_of)),
+g AS (SELECT gender, row_number() OVER (ORDER BY gender) - 1 AS c FROM (SELECT DISTINCT gender FROM rows_of)),
+n AS (SELECT avg(amount) am, stddev_samp(amount) asd, avg(mcc_code) mm, stddev_samp(mcc_code) msd, avg(current_age) cm, stddev_samp(current_age) csd FROM rows_of)
+SELECT id_transaction, round((amount - am) / asd, 6) AS amount, round((mcc_code - mm) / msd, 6) AS mcc_code, round((current_age - cm) / csd, 6) AS current_age,
+       CAST(u.c AS DOUBLE) AS use_chip, CAST(s.c AS DOUBLE) AS merchant_state, CAST(g.c AS DOUBLE) AS gender
+FROM rows_of JOIN u USING (use_chip) JOIN s USING (merchant_state) JOIN g USING (gender), n""")
+def encoded_features(m: Model):
+    """Scaled numbers and category codes of the training rows, as the forest gets them."""
+    rows = training_table(m)
+    out = rows
+    for stage in model.encoder(rows):
+        out = stage.transform(out)
+    v = vector_to_array("features")
+    return out.select(
+        "id_transaction", *[(F.round(v[i], 6) + 0.0).alias(n) for i, n in ((0, "amount"), (1, "mcc_code"), (3, "current_age"))],
+        *[v[4 + i].alias(n) for i, n in enumerate(features.CATEGORICAL)],
+    )
+
+
+_EDGES_SQL = ", ".join(f"quantile_disc(x, {i / 10}) AS e{i}" for i in range(1, 10))
+_PLACE_SQL = "CASE " + " ".join(f"WHEN x >= e{i} THEN {i}" for i in range(9, 0, -1)) + " ELSE -1 END"
+
+
+@query("drift_by_base_edges", f"""
+, f AS (SELECT feature, base, x FROM (
+  SELECT 'amount' AS feature, {_DRIFT_BASE} AS base, CAST(cents AS DOUBLE) / 100 AS x FROM flat
+  UNION ALL SELECT 'current_age', {_DRIFT_BASE}, {_AGE} FROM flat)),
+e AS (SELECT feature, {_EDGES_SQL} FROM f WHERE base GROUP BY feature),
+c AS (SELECT feature, {_PLACE_SQL} AS classe, CAST(count(CASE WHEN base THEN 1 END) AS DOUBLE) AS b, CAST(count(CASE WHEN NOT base THEN 1 END) AS DOUBLE) AS c
+      FROM f JOIN e USING (feature) GROUP BY 1, 2)
+SELECT feature, round(sum((q - p) * ln(q / p)), 6) AS psi FROM (
+  SELECT feature, greatest(b / sum(b) OVER (PARTITION BY feature), 1e-6::DOUBLE) AS p, greatest(c / sum(c) OVER (PARTITION BY feature), 1e-6::DOUBLE) AS q FROM c) GROUP BY feature""")
+def drift_by_base_edges(m: Model):
+    """Drift with classes of about equal shares of the base period. The sketch is made fine enough here to be exact, so that SQL can tell the edges."""
+    rows = landing.parquet(m, "dated_features", features.document_features(m.docs, "date_transaction"))
+    cut = moment(datetime(1998, 1, 1))
+    base, names = rows.where(F.col("date_transaction") < cut), ["amount", "current_age"]
+    edges = drift.base_edges(base, names, accuracy=100_000_000)
+    return drift.stability_index(base, rows.where(F.col("date_transaction") >= cut), names, edges)

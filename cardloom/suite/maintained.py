@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.operators import history, listing
+from cardloom.operators import history, listing, quality
 from cardloom.plans import bitmaps, removal
 from cardloom.plans.deltas import Deltas
+from cardloom.plans.toplist import TopList
 from cardloom.sources import layout, tables
 from cardloom.suite import landing
 from cardloom.suite.base import Model, day_sql, mean_sql, money_sql, query, rate_sql, time_sql
@@ -84,6 +85,83 @@ def merged_distinct_cards(m: Model):
     return bitmaps.distinct_cards(bitmaps.table(m.spark, landing.once(m, "bitmaps", write), parts=8))
 
 
+@query("maintained_top_cards", f"""
+SELECT id_carte, {_N} AS nb_transactions FROM {_NOW} GROUP BY id_carte ORDER BY nb_transactions DESC, id_carte LIMIT 10""")
+def maintained_top_cards(m: Model):
+    """The ten busiest cards after the four batches, from the list that each batch updated."""
+    state = _late(m)
+
+    def write(root: str) -> None:
+        top = TopList(m.spark, root)
+        for batch in state.card.versions():
+            top.update(batch, state.changed_cards(batch), state.all_cards(batch))
+
+    return TopList(m.spark, landing.once(m, "top", write)).shown().select(F.col("key").alias("id_carte"), F.col("figure").alias("nb_transactions"))
+
+
+# ----------------------------------------------------------- planted faults
+
+# Per table: its SQL, its key, and for every rule the column and value that break it. Rule j is broken in the rows whose key is j modulo the
+# number of rules.
+_NULL = "NULL"
+_FAULTS = {
+    "mcc": ("mcc", "code_mcc", {"code_mcc not null": ("code_mcc", _NULL), "libelle_mcc not null": ("libelle_mcc", _NULL), "code 0..9999": ("code_mcc", "10000")}),
+    "utilisateur_si": ("utilisateur", "id_utilisateur", {
+        **{f"{c} not null": (c, _NULL) for c in ("id_utilisateur", "login", "nom_complet", "email", "role", "actif")}, "role known": ("role", "'root'"), "actif Y/N": ("actif", "'y'"),
+    }),
+    "client": ("client", "id_client", {
+        **{f"{c} not null": (c, _NULL) for c in ("id_client", "num_credit_cards", "current_age", "birth_year")},
+        "current_age 1..129": ("current_age", "130"), "retirement_age 1..129": ("retirement_age", "0"), "birth_year from 1900": ("birth_year", "1899"),
+        "birth_month 1..12": ("birth_month", "13"), "gender known": ("gender", "'?'"), "latitude -90..90": ("latitude", "90.5"), "longitude -180..180": ("longitude", "-181"),
+        "credit_score 300..850": ("credit_score", "851"), "num_credit_cards from 0": ("num_credit_cards", "-1"),
+    }),
+    "marchand": ("marchand", "id_marchand", {f"{c} not null": (c, _NULL) for c in ("id_marchand", "code_mcc")}),
+    "carte": ("carte", "id_carte", {
+        **{f"{c} not null": (c, _NULL) for c in ("id_carte", "id_client", "card_brand", "card_type", "expires", "acct_open_date", "has_chip", "card_on_dark_web")},
+        "has_chip Y/N": ("has_chip", "'YES'"), "card_on_dark_web Y/N": ("card_on_dark_web", "''"), "credit_limit from 0": ("credit_limit", "-0.01"),
+        "num_cards_issued from 0": ("num_cards_issued", "-1"), "year_pin from 1900": ("year_pin_last_changed", "1899"),
+    }),
+    "transaction": ("tx", "id_transaction", {
+        **{f"{c} not null": (c, _NULL) for c in ("id_transaction", "id_carte", "id_marchand", "date_transaction", "amount", "situation_date")}, "use_chip known": ("use_chip", "'Chip'"),
+    }),
+    "label_fraude": ("label", "id_transaction", {"id_transaction not null": ("id_transaction", _NULL), "is_fraud not null": ("is_fraud", _NULL), "is_fraud Y/N": ("is_fraud", "'N '")}),
+    "erreur_transaction": ("(SELECT * FROM tx WHERE id_transaction % 7 = 3) e", "id_transaction", {f"{c} not null": (c, _NULL) for c in ("id_erreur", "id_transaction", "code_erreur")}),
+    "journal_audit": ("client", "id_client", {
+        **{f"{c} not null": (c, _NULL) for c in ("id_audit", "id_utilisateur", "table_concernee", "id_ligne_concernee", "operation")}, "operation known": ("operation", "'MERGE'"),
+    }),
+}
+
+
+def _faulty_tables(m: Model) -> dict[str, DataFrame]:
+    t = {
+        "mcc": m.mcc, "utilisateur_si": m.utilisateur_si, "client": m.client, "marchand": m.marchand, "carte": m.carte, "transaction": m.transaction,
+        "label_fraude": m.label_fraude,
+        "erreur_transaction": m.transaction.where("id_transaction % 7 = 3").select((F.col("id_transaction") * 100).alias("id_erreur"), "id_transaction", F.lit("Bad PIN").alias("code_erreur")),
+        "journal_audit": m.client.select(
+            "id_client", F.col("id_client").alias("id_audit"), F.lit(1).alias("id_utilisateur"), F.lit("client").alias("table_concernee"),
+            F.col("id_client").alias("id_ligne_concernee"), F.lit("UPDATE").alias("operation"),
+        ),
+    }
+    out = {}
+    for name, df in t.items():
+        _, key, faults = _FAULTS[name]
+        kinds, changes = dict(df.dtypes), {}
+        for j, (column, value) in enumerate(faults.values()):
+            given = changes.get(column, F.col(column))
+            changes[column] = F.when(F.col(key) % len(faults) == j, F.expr(value).cast(kinds[column])).otherwise(given)
+        out[name] = df.select(*[changes.get(c, F.col(c)).alias(c) for c in df.columns])
+    return out
+
+
+@query("planted_violations", " UNION ALL ".join(
+    f"SELECT '{name}' AS nom_table, '{rule}' AS regle, (SELECT count(*) FROM {source} WHERE {key} % {len(faults)} = {j}) AS violations, (SELECT count(*) FROM {source}) AS lignes"
+    for name, (source, key, faults) in _FAULTS.items() for j, rule in enumerate(faults)
+))
+def planted_violations(m: Model):
+    """All rules of the nine tables, each broken in some rows."""
+    return reduce(DataFrame.unionByName, [quality.check_rules(df, name) for name, df in _faulty_tables(m).items()])
+
+
 # ------------------------------------------------------------------ removal
 
 

@@ -85,3 +85,40 @@ def stream_scoring(m: Model):
 def stream_latency(m: Model):
     """Seconds from the arrival of the newly written history to its scores."""
     return jobs.latency(_scored_stream(m, "scored_history", _history(m)), F.col("arrived_at"))
+
+
+_ONCE_SQL = "1 / (1 + exp(-(0.0001 * cents - 1)))"
+
+
+@query("stream_scored_once", f"""
+SELECT id_transaction, {_ONCE_SQL} > 0.5 AS is_fraud_predicted, round({_ONCE_SQL}, 4) AS fraud_probability,
+       CASE WHEN {_ONCE_SQL} < 0.3 THEN 'LOW' WHEN {_ONCE_SQL} < 0.7 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level
+FROM {_REQUEST_SQL} r WHERE {_VALID_SQL}""")
+def stream_scored_once(m: Model):
+    """Scores of a source that repeats files, before and after a restart from the checkpoint: each valid request once."""
+
+    def write(out: str) -> None:
+        history = m.spark.read.parquet(_history(m))
+        seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+        borders = history.select(seconds.cast("double").alias("s")).approxQuantile("s", [0.25, 0.5, 0.75], 0.001)
+        quarter = sum([F.when(seconds > b, 1).otherwise(0) for b in borders], F.lit(0))
+        source, checkpoint = scratch_path(m.spark, "repeating"), scratch_path(m.spark, "once-checkpoint")
+        fitted = model.given_logistic(m.spark, {"amount": 0.01}, -1.0)
+        for part in ((0, 1, 0), (1, 2, 2, 3, 3)):
+            for k in part:
+                history.where(quarter == k).coalesce(1).write.mode("append").parquet(source)
+            stream = event_rows(jobs.file_stream(m.spark, source, m.given("events").schema, 1), "arrived_at")
+            requests = requests_of(jobs.once(stream, "id_transaction", delay="20 days"), "date_transaction")
+            with jobs.rocksdb(m.spark):
+                jobs.to_files(jobs.scored(requests, fitted, "id_transaction"), out, checkpoint).awaitTermination()
+
+    rows = m.spark.read.parquet(landing.once(m, "scored_once", write))
+    return rows.select("id_transaction", "is_fraud_predicted", "fraud_probability", "risk_level")
+
+
+@query("latency_of_given_times", """
+SELECT count(*) AS nb, round(quantile_cont((id_transaction % 977) / 1000.0::DOUBLE, 0.95), 6) AS p95_s, max((id_transaction % 977) / 1000.0::DOUBLE) AS max_s FROM ev""")
+def latency_of_given_times(m: Model):
+    """The latency figures on times that follow from the id, so that SQL can tell them."""
+    rows = m.events.select(F.col("date_transaction").alias("arrived"), (F.col("date_transaction") + F.make_dt_interval(secs=((F.col("id_transaction") % 977) / 1000).cast("decimal(18,6)"))).alias("predicted_at"))
+    return jobs.latency(rows, F.col("arrived")).withColumn("p95_s", F.round("p95_s", 6))

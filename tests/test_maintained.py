@@ -130,3 +130,37 @@ def test_bitmaps(spark, tmp_path):
     before = stored.manifest()
     assert len(bitmaps.merge(stored, "0004", one)) == 1
     assert sum(before.get(p) != v for p, v in stored.manifest().items()) == 1
+
+
+def test_top_list(spark, tmp_path):
+    from cardloom.plans.toplist import TopList
+
+    rng = random.Random(12)
+    schema = "key bigint, figure bigint"
+    for k, room, keys in ((3, 2, 30), (3, 2, 4)):
+        top, state, remade = TopList(spark, str(tmp_path / f"top{keys}"), k=k, room=room), {}, []
+        for batch in range(6):
+            changed = {rng.randint(1, keys): rng.choice((None, *range(9))) for _ in range(8)}
+            if batch == 4:  # all candidates leave
+                changed = {i: None if rng.random() < 0.7 else 1 for i in range(1, keys + 1)}
+            state.update(changed)
+            state = {i: v for i, v in state.items() if v is not None}
+            every = spark.createDataFrame(list(state.items()), schema)
+            for _ in range(1 + (batch == 2)):
+                remade.append(top.update(f"{batch:04}", spark.createDataFrame(list(changed.items()), schema), every))
+            want = sorted(state.items(), key=lambda x: (-x[1], x[0]))[:k]
+            assert [tuple(r) for r in top.shown().collect()] == want, (keys, batch)
+        assert True in remade and (keys < 30 or False in remade)
+
+
+def test_base_edges(spark):
+    from cardloom.learning import drift
+
+    base = spark.range(1000).selectExpr("id as amount", "5 as hour", "cast(null as int) as current_age")
+    edges = drift.base_edges(base, ["amount", "hour", "current_age"], classes=4)
+    assert edges["hour"] == (5.0,) and edges["current_age"] == ()
+    assert all(abs(e - w) <= 1 for e, w in zip(edges["amount"], (250, 500, 750)))
+    same = {r.feature: r.psi for r in drift.stability_index(base, base, list(edges), edges).collect()}
+    assert same == {"amount": 0.0, "hour": 0.0, "current_age": 0.0}
+    moved = drift.stability_index(base, base.withColumn("amount", F.col("amount") + 400), ["amount"], edges)
+    assert moved.first().psi > 0.5
