@@ -288,7 +288,7 @@ def _snapshots(m: Model) -> dict[str, DataFrame]:
 
 def _history(m: Model) -> DataFrame:
     rows = history.versions(history.stacked(_snapshots(m)), "id_client", _STATE, list(_DAYS))
-    return landing.parquet(m, "history", rows)
+    return landing.parquet(m, "client-versions", rows)
 
 
 @query("client_history_days", f"""

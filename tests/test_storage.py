@@ -140,10 +140,13 @@ def test_each_filter_reads_under_half(spark, tmp_path):
         plan = docs.where(condition)._jdf.queryExecution().executedPlan().toString()
         assert column in plan.split("PushedFilters")[1]
     # ids have Bloom filters
-    jvm = spark._jvm
-    file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(glob.glob(f"{path}/*.parquet")[0]), spark._jsc.hadoopConfiguration())
-    columns = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file).getFooter().getBlocks().get(0).getColumns()
-    assert {c.getPath().toDotString() for c in columns if c.getBloomFilterOffset() > 0} == {"id_transaction", "carte.id_carte"}
+    # (Parquet leaves them out where a dictionary lists all values)
+    jvm, found = spark._jvm, set()
+    for name in glob.glob(f"{path}/*.parquet")[:20]:
+        file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(name), spark._jsc.hadoopConfiguration())
+        columns = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file).getFooter().getBlocks().get(0).getColumns()
+        found |= {c.getPath().toDotString() for c in columns if c.getBloomFilterOffset() > 0}
+    assert "id_transaction" in found <= {"id_transaction", "carte.id_carte"}
 
 
 def test_interleaved_key(spark):
