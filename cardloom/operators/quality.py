@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardloom.operators.derive import repeated_keys
 from cardloom.schemas import GENDERS, OPERATIONS, ROLES, SECRET_COLUMNS, USE_CHIP_VALUES
+from cardloom.session import scratch_path
 
 RETENTION_DAYS = 730
 
@@ -171,27 +172,72 @@ def uniqueness_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def suite(tables: dict[str, DataFrame]) -> DataFrame:
-    """Whole quality report: (famille, nom_table, regle, violations)."""
-    rules = reduce(DataFrame.unionByName, [check_rules(df, name) for name, df in tables.items()])
-    return (
-        rules.select(F.lit("regle").alias("famille"), "nom_table", "regle", "violations")
-        .unionByName(
-            orphan_report(tables).select(
-                F.lit("orphelin").alias("famille"),
-                "nom_table",
-                F.col("cle").alias("regle"),
-                F.col("orphelins").alias("violations"),
-            )
-        )
-        .unionByName(
-            uniqueness_report(tables).select(
-                F.lit("doublon").alias("famille"),
-                "nom_table",
-                F.col("cle").alias("regle"),
-                F.col("doublons").alias("violations"),
-            )
-        )
+    """Whole quality report: (famille, nom_table, regle, violations).
+
+    Each table is read once. A row gives one item per key it holds and one per
+    rule it breaks; items are counted per (check, value) within the map tasks
+    first, so a rule that all rows break or a parent that holds a third of the
+    children shuffles one item per task. From the stored counts follow the broken
+    rules, the repeated keys and, by one anti join of all foreign keys with all
+    primary keys, the orphans.
+    """
+    rules, uniques, foreign = _checks(tables)
+    checks = [*rules, *uniques, *foreign]
+    number = {check: i for i, check in enumerate(checks)}
+    items = []
+    for name, df in tables.items():
+        given = [
+            _item(F.lit(number[check]), when=~rules_for(name)[check[2]]) for check in rules if check[1] == name
+        ] + [
+            # the primary key counts where it is missing, too; other columns only where they are given
+            _item(F.lit(number[check]), check[2], df, when=None if check[2] == PRIMARY_KEYS[name] else _c(check[2]).isNotNull())
+            for check in uniques if check[1] == name
+        ] + [_item(F.lit(number[check]), check[2], df, when=_c(check[2]).isNotNull()) for check in foreign if check[1] == name]
+        items.append(df.select(F.inline(F.filter(F.array(*given), lambda x: x.isNotNull()))))
+    counts = reduce(DataFrame.unionByName, items).groupBy("numero", "cle", "texte").agg(F.count(F.lit(1)).alias("nb"))
+    path = scratch_path(counts.sparkSession, "quality-counts")
+    counts.write.parquet(path)
+    counts = counts.sparkSession.read.schema(counts.schema).parquet(path)
+
+    first_unique, first_foreign = len(rules), len(rules) + len(uniques)
+    of_unique = F.col("numero").between(first_unique, first_foreign - 1)
+    totals = counts.where(F.col("numero") < first_foreign).groupBy("numero").agg(F.sum(F.col("nb") - of_unique.cast("int")).alias("violations"))
+    if foreign:
+        parents = {number[check]: number["doublon", parent, key] for check, (parent, key) in foreign.items()}
+        parent_of = F.element_at(F.create_map(*[F.lit(n) for pair in parents.items() for n in pair]), F.col("numero"))
+        children = counts.where(F.col("numero") >= first_foreign).withColumn("parent", parent_of)
+        keys = counts.where(of_unique & F.col("cle").isNotNull()).select(F.col("numero").alias("parent"), "cle")
+        lost = children.join(keys, ["parent", "cle"], "left_anti")
+        totals = totals.unionByName(lost.groupBy("numero").agg(F.sum("nb").alias("violations")))
+    names = F.array(*[F.struct(F.lit(i).alias("numero"), *[F.lit(v).alias(c) for c, v in zip(("famille", "nom_table", "regle"), check)]) for check, i in number.items()])
+    every = counts.sparkSession.range(1).select(F.inline(names))
+    return every.join(totals, "numero", "left").select("famille", "nom_table", "regle", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
+def _checks(tables: dict[str, DataFrame]) -> tuple[list[tuple], list[tuple], dict[tuple, tuple[str, str]]]:
+    """Checks (family, table, rule or column) of the given tables: rules, unique columns, and foreign keys with their parents."""
+    rules, uniques = [], []
+    for name, df in tables.items():
+        without = [f"{c} not null" for c in SECRET_COLUMNS if c not in df.columns]
+        rules += [("regle", name, rule) for rule in rules_for(name) if rule not in without]
+        uniques += [("doublon", name, key) for key in (PRIMARY_KEYS[name], *UNIQUE_COLUMNS.get(name, ()))]
+    foreign = {
+        ("orphelin", child, key): (parent, parent_key)
+        for child, key, parent, parent_key in FOREIGN_KEYS if child in tables and parent in tables
+    }
+    return rules, uniques, foreign
+
+
+def _item(number: Column, column: str | None = None, df: DataFrame | None = None, when: Column | None = None) -> Column:
+    """(check, value) of a row, or null where ``when`` does not hold. Whole numbers and texts stand in columns of their own."""
+    is_text = column is not None and dict(df.dtypes)[column] == "string"
+    none = F.lit(None)
+    item = F.struct(
+        number.alias("numero"),
+        (none if column is None or is_text else _c(column)).cast("bigint").alias("cle"),
+        (_c(column) if is_text else none).cast("string").alias("texte"),
     )
+    return item if when is None else F.when(when, item)
 
 
 def retained(df: DataFrame, now: Column, ingested: str = "_ingested_at") -> DataFrame:

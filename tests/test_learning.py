@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import duckdb
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cardloom.learning import drift, features, model
@@ -168,6 +170,59 @@ def test_comparison_and_grid(training):
     assert [(r["numTrees"], r["maxDepth"]) for r in grid] == [(3, 2), (3, 4)] and all(0 <= r["pr_auc"] <= 1 for r in grid)
 
 
+def test_grid_equals_single_fits(training):
+    """Settings that share the encoded rows of a fold get the areas of fits of their own."""
+    grid = model.cross_validate(training, trees=[2, 3], depths=[3], folds=2)
+    for found in grid:
+        areas = []
+        for k in range(2):
+            inside = model.fold_of(2) == k
+            areas.append(model.evaluate(model.fit(training.where(~inside), model.forest(found["numTrees"], 3)), training.where(inside))["pr_auc"])
+        assert found["pr_auc"] == pytest.approx(sum(areas) / 2, abs=1e-12)
+
+
+def test_areas_by_sql(fitted, training):
+    """Both areas of a fitted forest, worked out anew from its scores: step by step over the distinct scores."""
+    _, test = model.split(training)
+    got = model.evaluate(fitted[0], test)
+    scores = fitted[0].transform(test).select("label", vector_to_array("rawPrediction")[1].alias("score")).toPandas()
+    area, roc = duckdb.sql("""
+        WITH c AS (SELECT score, sum(label) AS p, count(*) - sum(label) AS n FROM scores GROUP BY score),
+        r AS (SELECT score, p, n, sum(p) OVER w AS tp, sum(n) OVER w AS fp, sum(p) OVER () AS ap, sum(n) OVER () AS an FROM c WINDOW w AS (ORDER BY score DESC)),
+        s AS (SELECT *, tp / ap AS recall, tp / (tp + fp) AS precision, lag(tp / ap, 1, 0) OVER w AS recall0,
+                     coalesce(lag(tp / (tp + fp)) OVER w, tp / (tp + fp)) AS precision0 FROM r WINDOW w AS (ORDER BY score DESC))
+        SELECT sum((recall - recall0) * (precision + precision0) / 2), sum(n * (tp - p / 2)) / any_value(ap * an) FROM s""").fetchall()[0]
+    assert got["pr_auc"] == pytest.approx(area, abs=1e-9) and got["roc_auc"] == pytest.approx(roc, abs=1e-9)
+
+
+def test_trees_keep_the_bounds(training):
+    """Every tree: at most 12 levels, at least five rows in a leaf and ten in a split node; counts add up; splits gain purity."""
+    ready = model.encoded(training)[1]
+    forest = model.forest(trees=6).fit(ready)
+    assert forest.getNumTrees == 6
+    for tree in forest.trees:
+        seen = []
+
+        def walk(node, depth):
+            seen.append(depth)
+            stats = list(node.impurityStats().stats())
+            whole = sum(stats)
+            gini = 1 - sum((x / whole) ** 2 for x in stats)
+            # -1 marks a leaf for which no valid split was found
+            assert node.impurity() == pytest.approx(gini, abs=1e-9) or (node.subtreeDepth() == 0 and node.impurity() == -1.0)
+            assert node.prediction() == max(range(len(stats)), key=lambda c: stats[c])
+            rows = node.impurityStats().rawCount()
+            if node.subtreeDepth() == 0:
+                assert rows >= 5 or depth == 0
+                return rows
+            assert rows >= 10 and node.gain() > 0
+            assert walk(node.leftChild(), depth + 1) + walk(node.rightChild(), depth + 1) == rows
+            return rows
+
+        walk(tree._java_obj.rootNode(), 0)
+        assert max(seen) == tree.depth <= 12 and len(seen) == tree.numNodes
+
+
 def test_drift(training):
     same = {r.feature: r.psi for r in drift.stability_index(training, training, ["amount", "gender"]).collect()}
     assert same == {"amount": 0.0, "gender": 0.0}

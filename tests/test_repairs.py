@@ -43,6 +43,24 @@ def test_repeated_logins_belong_to_nobody(spark):
     assert got == {"Ada": 0, "BOB": 9, "eve": 0}
 
 
+def test_suite_equals_the_single_reports(spark):
+    """One read of each of nine tables with planted faults gives what the reports of rules, orphans and repeats give."""
+    from cardloom.suite.base import Model
+    from cardloom.suite.maintained import _faulty_tables
+
+    tables = _faulty_tables(Model(spark, SF))
+    tables["utilisateur_si"] = tables["utilisateur_si"].unionByName(tables["utilisateur_si"].limit(3))
+    tables["label_fraude"] = tables["label_fraude"].unionByName(tables["label_fraude"].where("id_transaction % 5 = 0"))
+    want = {("regle", name, r.regle): r.violations for name, df in tables.items() for r in quality.check_rules(df, name).collect()}
+    want |= {("orphelin", r.nom_table, r.cle): r.orphelins for r in quality.orphan_report(tables).collect()}
+    want |= {("doublon", r.nom_table, r.cle): r.doublons for r in quality.uniqueness_report(tables).collect()}
+    found = quality.suite(tables).collect()
+    assert {(r.famille, r.nom_table, r.regle): r.violations for r in found} == want and len(found) == len(want)
+    assert sum(n > 0 for (family, *_), n in want.items() if family == "orphelin") > 2
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert {r.violations for r in quality.suite(empty).collect()} == {0}
+
+
 def test_suite_with_journal_and_without_keys(spark):
     journal = spark.createDataFrame(
         [(1, 5, "client", 3, "UPDATE"), (1, 6, "client", 3, None)],
