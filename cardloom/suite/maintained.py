@@ -162,6 +162,44 @@ def planted_violations(m: Model):
     return reduce(DataFrame.unionByName, [quality.check_rules(df, name) for name, df in _faulty_tables(m).items()])
 
 
+# columns that the SQL of a table names otherwise
+_GIVEN = {
+    ("journal_audit", "id_audit"): "id_client", ("journal_audit", "id_utilisateur"): "1",
+    ("erreur_transaction", "id_erreur"): "id_transaction * 100", ("utilisateur_si", "email"): "login || '@bank.example'",
+}
+
+
+def _faulty_sql(name: str, column: str) -> str:
+    """Values of one column after the faults were planted, as ``k``."""
+    source, key, faults = _FAULTS[name]
+    value = _GIVEN.get((name, column), column)
+    for j, (changed, bad) in enumerate(faults.values()):
+        if changed == column:
+            value = f"CASE WHEN {key} % {len(faults)} = {j} THEN {bad} ELSE {value} END"
+    return f"(SELECT {value} AS k FROM {source})"
+
+
+_SUITE_SQL = [
+    f"SELECT 'regle' AS famille, '{name}' AS nom_table, '{rule}' AS regle, (SELECT count(*) FROM {source} WHERE {key} % {len(faults)} = {j}) AS violations"
+    for name, (source, key, faults) in _FAULTS.items() for j, rule in enumerate(faults)
+] + [
+    f"SELECT 'doublon', '{name}', '{key}', (SELECT count(*) - count(DISTINCT k) - CASE WHEN count(*) > count(k) THEN 1 ELSE 0 END FROM {_faulty_sql(name, key)})"
+    for name, key in quality.PRIMARY_KEYS.items()
+] + [
+    f"SELECT 'doublon', '{name}', '{key}', (SELECT count(k) - count(DISTINCT k) FROM {_faulty_sql(name, key)})"
+    for name, keys in quality.UNIQUE_COLUMNS.items() for key in keys
+] + [
+    f"SELECT 'orphelin', '{child}', '{key}', (SELECT count(*) FROM {_faulty_sql(child, key)} c WHERE k IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_faulty_sql(parent, parent_key)} p WHERE p.k = c.k))"
+    for child, key, parent, parent_key in quality.FOREIGN_KEYS
+]
+
+
+@query("planted_suite", " UNION ALL ".join(_SUITE_SQL))
+def planted_suite(m: Model):
+    """The whole report on nine tables with faults: broken rules, keys missing or repeated, children that lost their parents."""
+    return quality.suite(_faulty_tables(m))
+
+
 # ------------------------------------------------------------------ removal
 
 
