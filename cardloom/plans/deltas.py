@@ -9,7 +9,8 @@ another card, a deletion. A figure never needs the rows it came from again.
 What is stored below ``root``:
 
 * ``log``: the touched rows after each batch, in a folder per batch, cut by ranges of
-  the id. It is only appended to. A batch reads the ranges its ids fall into.
+  the id: ranges so wide that a batch has at most ``LOG_PARTS`` and one of them, however
+  sparse its ids. It is only appended to. A batch reads the ranges its ids fall into.
 * ``card``, ``daily``: figures per card and day (``Versions``): only parts with a
   changed key are written.
 * ``pairs``: figures per (category, card); a card leaves a category when its count
@@ -28,15 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardloom.operators import datamarts as d
-from cardloom.session import path_exists
 from cardloom.sources.versions import Versions
 
 MONEY = "decimal(38,2)"
 FIELDS = ("id_carte", "code_mcc", "situation_date", "amount")
 #: Figures that add up: rows, amounts, rows with an amount, frauds.
 SUMS = ("n", "total", "amounts", "frauds")
-#: Ids of one part of the log.
+#: Ids of one part of the log, at least.
 ID_RANGE = 50_000_000
+#: Parts that the ids of a batch are cut into, at most.
+LOG_PARTS = 64
 
 _LOG = "id_transaction bigint, present boolean, id_carte bigint, code_mcc int, situation_date date, amount decimal(12,2), is_fraud string"
 _IMAGE = ("present", *FIELDS, "is_fraud")
@@ -58,17 +60,38 @@ class Deltas:
 
     def _log(self, before: str, ids: DataFrame) -> DataFrame:
         """Newest row before a batch of each id that the batch touches."""
-        if not path_exists(self.spark, f"{self.root}/log"):
+        stored = self._log_parts(before)
+        if not stored:
             return self.spark.createDataFrame([], _LOG)
-        ranges = [r[0] for r in ids.select(self._range()).distinct().collect()]
-        schema = f"{_LOG}, batch string, id_part bigint"
-        stored = self.spark.read.schema(schema).option("basePath", f"{self.root}/log").parquet(f"{self.root}/log")
-        rows = stored.where((F.col("batch") < before) & F.col("id_part").isin(ranges)).join(ids, "id_transaction", "left_semi")
+        # of each width of ranges the parts that ids fall into, among those that are stored
+        spans: dict[int, tuple[int, int]] = {}
+        for _, width, part in stored:
+            low, high = spans.get(width, (part, part))
+            spans[width] = min(low, part), max(high, part)
+        places = [F.struct(F.lit(w).cast("bigint").alias("width"), self._range(w).alias("part"), F.lit(low).alias("low"), F.lit(high).alias("high")) for w, (low, high) in spans.items()]
+        hit = {tuple(r) for r in ids.select(F.explode(F.array(*places)).alias("p")).where("p.part between p.low and p.high").select("p.width", "p.part").distinct().collect()}
+        root = f"{self.root}/log"
+        paths = [f"{root}/batch={b}/id_range={w}/id_part={p}" for b, w, p in stored if (w, p) in hit]
+        if not paths:
+            return self.spark.createDataFrame([], _LOG)
+        rows = self.spark.read.schema(f"{_LOG}, batch string").option("basePath", root).parquet(*paths).join(ids, "id_transaction", "left_semi")
         newest = F.max_by(F.struct(*_IMAGE), "batch").alias("row")
         return rows.groupBy("id_transaction").agg(newest).select("id_transaction", "row.*")
 
-    def _range(self) -> Column:
-        return F.floor(F.col("id_transaction") / self.id_range).cast("bigint").alias("id_part")
+    def _log_parts(self, before: str) -> list[tuple[str, int, int]]:
+        """Batch, width and number of the ranges stored before a batch; at most ``LOG_PARTS`` and one a batch."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/log/batch=*/id_range=*/id_part=*")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        out = []
+        for status in found or ():
+            batch, width, part = (x.split("=", 1)[1] for x in status.getPath().toString().split("/")[-3:])
+            if batch < before and part.lstrip("-").isdigit():
+                out.append((batch, int(width), int(part)))
+        return out
+
+    @staticmethod
+    def _range(width: int) -> Column:
+        return F.floor(F.col("id_transaction") / width).cast("bigint")
 
     def images(self, batch: str, tx: DataFrame, label: DataFrame, deleted: DataFrame, merchant: DataFrame) -> DataFrame:
         """Touched ids with their rows before and after a batch, ``old`` and ``new``.
@@ -91,6 +114,10 @@ class Deltas:
         said = wide(changed).unionByName(wide(labels)).unionByName(wide(gone)).groupBy("id_transaction").agg(
             *[F.max(c).alias(c) for c in nothing]
         )
+        # stored, as it is read for the ranges, for the log and for the rows
+        kept = f"{self.root}/said/{batch}"
+        said.write.mode("overwrite").parquet(kept)
+        said = self.spark.read.parquet(kept)
         old = self._log(batch, said.select("id_transaction"))
         rows = said.join(old.select("id_transaction", F.struct(*_IMAGE).alias("old")), "id_transaction", "left")
         present = F.when(F.col("gone"), False).otherwise(F.col("tx").isNotNull() | F.coalesce("old.present", F.lit(False)))
@@ -112,8 +139,11 @@ class Deltas:
         scratch = f"{self.root}/changes/{batch}"
         self.images(batch, tx, label, deleted, merchant).write.mode("overwrite").parquet(scratch)
         rows = self.spark.read.parquet(scratch)
-        logged = rows.select("id_transaction", "new.*", self._range()).hint("rebalance", "id_part")
-        logged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("id_part").parquet(touched)
+        ends = rows.agg(F.min("id_transaction").alias("low"), F.max("id_transaction").alias("high")).first()
+        width = max(self.id_range, -(-(ends.high - ends.low) // LOG_PARTS)) if ends.low is not None else self.id_range
+        logged = rows.select("id_transaction", "new.*", F.lit(width).cast("bigint").alias("id_range"), self._range(width).alias("id_part"))
+        writer = logged.hint("rebalance", "id_part").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("id_range", "id_part").parquet(touched)
 
         signed = rows.where(~F.col("old").eqNullSafe(F.col("new"))).select(
             F.explode(F.array(F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")), F.struct(F.lit(1).alias("sign"), F.col("new").alias("row")))).alias("c")
@@ -124,26 +154,28 @@ class Deltas:
             F.sum(F.when(F.col("amount").isNotNull(), F.col("sign")).otherwise(0)).cast("bigint").alias("amounts"),
             F.sum(F.when(F.col("is_fraud") == "Y", F.col("sign")).otherwise(0)).cast("bigint").alias("frauds"),
         ]
-        self._fold(self.card, signed.groupBy("id_carte").agg(*sums), batch)
-        self._fold(self.daily, signed.groupBy("situation_date").agg(*sums), batch)
-        by_pair = signed.where("code_mcc is not null").groupBy("code_mcc", "id_carte").agg(*sums)
-        parts = self._fold(self.pairs, by_pair, batch)
-        self._categories(by_pair, parts, batch)
-
-    def _fold(self, table: Versions, change: DataFrame, batch: str) -> list[int]:
-        """Adds changes to a table; only the parts with a changed key are read and written. Returns them."""
+        self._fold(self.card, signed, sums, batch)
+        self._fold(self.daily, signed, sums, batch)
+        coded = signed.where("code_mcc is not null")
+        parts = self._fold(self.pairs, coded, sums, batch)
+        self._categories(coded.groupBy("code_mcc").agg(*sums), parts, batch)
+
+    def _fold(self, table: Versions, signed: DataFrame, sums: list[Column], batch: str) -> list[int]:
+        """Adds signed rows to a table; only the parts with a changed key are read and written. Returns them."""
         keys = list(table.keys) or [table.schema.fields[0].name]
-        parts = table.touched(change)
+        # of the rows, whose keys are those of the sums: no sum is made for it
+        parts = table.touched(signed)
         if not parts:
             return parts
+        change = signed.groupBy(*keys).agg(*sums)
         stored = table.read(before=batch, parts=parts).where("n <> 0")
         both = stored.select(*keys, *SUMS, F.col("n").alias("was")).unionByName(change.select(*keys, *SUMS, F.lit(0).cast("bigint").alias("was")))
         table.write(both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*SUMS, "was")]), batch, parts)
         return parts
 
     def _categories(self, change: DataFrame, parts: list[int], batch: str) -> None:
-        """Category figures from the changed pairs; a pair whose count left zero or fell to it changes the distinct cards."""
-        sums = change.groupBy("code_mcc").agg(*[F.sum(c).alias(c) for c in SUMS]).withColumn("cards", F.lit(0).cast("bigint"))
+        """Category figures from the changes per category; a pair whose count left zero or fell to it changes the distinct cards."""
+        sums = change.withColumn("cards", F.lit(0).cast("bigint"))
         # a null card is no card
         moved = self.pairs.read(before=f"{batch}\0", parts=parts).where("id_carte is not null and (n > 0) <> (was > 0)")
         moved = moved.groupBy("code_mcc").agg(

@@ -29,16 +29,19 @@ _FRAUDS = "CAST(sum(CASE WHEN is_fraud = 'Y' THEN 1 ELSE 0 END) AS BIGINT)"
 def _late(m: Model) -> Deltas:
     def write(root: str) -> None:
         i = F.col("id_transaction")
-        tx = m.transaction.select("id_transaction", "id_carte", "id_marchand", "situation_date", "amount")
+        fields = ["id_transaction", "id_carte", "id_marchand", "situation_date", "amount"]
+        # the batches read it many times
+        lines = landing.parquet(m, "late_lines", m.labelled_transaction.select(*fields, "is_fraud"))
+        tx, label = lines.select(*fields), lines.where("is_fraud is not null").select("id_transaction", "is_fraud")
         now = tx.withColumn("amount", F.when(i % 17 == 0, F.col("amount") + 1).otherwise(F.col("amount"))).withColumn(
             "id_carte", F.when(i % 19 == 0, F.col("id_carte") + 1).otherwise(F.col("id_carte"))
         )
-        none, ids = m.label_fraude.limit(0), tx.select("id_transaction")
+        none, ids = label.limit(0), tx.select("id_transaction")
         changed = lambda k, to: ids.where(i % k == 0).select("id_transaction", F.lit(to).alias("is_fraud"))
         state = Deltas(m.spark, root, parts=8)
-        state.apply("0001", tx.where(i % 3 != 0), m.label_fraude.where(i % 2 == 0), ids.limit(0), m.marchand)
+        state.apply("0001", tx.where(i % 3 != 0), label.where(i % 2 == 0), ids.limit(0), m.marchand)
         fresh = now.where((i % 3 == 0) | (i % 17 == 0) | (i % 19 == 0))
-        state.apply("0002", fresh, m.label_fraude.where((i % 2 == 1) & (i % 29 != 0)).unionByName(changed(29, "Y")), ids.limit(0), m.marchand)
+        state.apply("0002", fresh, label.where((i % 2 == 1) & (i % 29 != 0)).unionByName(changed(29, "Y")), ids.limit(0), m.marchand)
         state.apply("0003", tx.limit(0), changed(31, "N"), ids.where(i % 23 == 0), m.marchand)
         state.apply("0004", now.where(i % 46 == 0), none, ids.limit(0), m.marchand)
 
