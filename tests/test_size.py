@@ -38,6 +38,17 @@ def test_partitions_follow_the_input(spark):
         spark.conf.set(session.INITIAL_PARTITIONS, before)
 
 
+def test_partitions_are_merged_up_to_a_bound(spark):
+    before = spark.conf.get(session.ADVISORY)
+    try:
+        for asked, kept in (("64m", session.MERGED_BYTES), ("8m", "8m")):
+            spark.conf.set(session.ADVISORY, asked)
+            session.size_shuffles(spark, SMALL)
+            assert spark.conf.get(session.ADVISORY) == str(kept)
+    finally:
+        spark.conf.set(session.ADVISORY, before)
+
+
 def test_labels_without_a_join(m):
     assert _same(m.labelled_transaction, datamarts.labelled(m.transaction, m.label_fraude))
     assert _plan(m.flat).count("Window [") == 1
