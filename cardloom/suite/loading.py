@@ -21,7 +21,7 @@ from cardloom.suite.base import FRAUDS_SQL, Model, day_sql, mean_sql, money_sql,
 SAMPLE_KEY = base64.b64encode(bytes(range(32))).decode()
 
 # Source bytes per bucket of a stored table.
-BUCKET_BYTES = 128 << 20
+BUCKET_BYTES = 16 << 20
 
 # ---------------------------------------------------------------- raw scans
 
