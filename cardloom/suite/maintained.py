@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.operators import history, listing, quality
+from cardloom.operators.skew import planned_bytes
 from cardloom.plans import bitmaps, removal
 from cardloom.plans.deltas import Deltas
 from cardloom.plans.toplist import TopList
@@ -264,11 +265,20 @@ def erasure_journal(m: Model):
 
 # ------------------------------------------------------------------- layout
 
+#: Bytes of the given fact for one file of documents; a file is sorted in one task.
+FILE_BYTES = 8 << 20
+
+
+def _files(m: Model) -> int:
+    """Files of documents: more for a larger fact, so that a task sorts no more of it."""
+    return max(32, -(-planned_bytes(m.given("lineitem")) // FILE_BYTES))
+
+
 _LAID = ["client.id_client", "mcc.code", "date_transaction", "carte.id_carte"]
 
 
 def _laid_out(m: Model) -> DataFrame:
-    path = landing.once(m, "interleaved", lambda p: layout.write_interleaved(m.docs, p, _LAID, ["id_transaction", "carte.id_carte"], files=32))
+    path = landing.once(m, "interleaved", lambda p: layout.write_interleaved(m.docs, p, _LAID, ["id_transaction", "carte.id_carte"], files=_files(m)))
     return tables.read_documents(m.spark, path)
 
 
@@ -299,7 +309,7 @@ def numbered_deep_page(m: Model):
     """Page 2 000 by number, by way of the directory of files."""
 
     def write(root: str) -> None:
-        layout.write_paged(m.docs, f"{root}/docs", f"{root}/directory", files=32)
+        layout.write_paged(m.docs, f"{root}/docs", f"{root}/directory", files=_files(m))
 
     root = landing.once(m, "paged", write)
     return layout.numbered_page(m.spark, f"{root}/docs", f"{root}/directory", 2000).select("id_transaction", "date_transaction")
