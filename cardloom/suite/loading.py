@@ -193,10 +193,7 @@ def _incremental(m: Model) -> str:
 
     def write(gold: str) -> None:
         for batch, part in (("0001", F.year("situation_date") < 1998), ("0002", F.year("situation_date") >= 1998)):
-            t = {
-                "transaction": m.transaction.where(part), "label_fraude": m.label_fraude,
-                "marchand": m.marchand, "mcc": m.mcc,
-            }
+            t = {"transaction": m.labelled_transaction.where(part), "marchand": m.marchand, "mcc": m.mcc}
             marts.apply_batch(m.spark, t, gold, batch)
 
     return landing.once(m, "incremental", write)

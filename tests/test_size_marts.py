@@ -36,3 +36,12 @@ def test_gold_reads_lines_without_numbers(spark, monkeypatch):
     landing.gold(Model(spark, SMALL))
     plan = _plan(marts._labelled(given[0], "id_carte", "amount").groupBy("id_carte").agg(F.count("is_fraud")))
     assert "Window [" not in plan and "Join" not in plan
+
+
+def test_batches_with_own_label(spark, tiny, tmp_path, rows):
+    joined, own = str(tmp_path / "joined"), str(tmp_path / "own")
+    for batch, condition in (("1", "id_transaction <= 2"), ("2", "id_transaction > 2")):
+        for t, path in ((tiny, joined), (_own_label(tiny), own)):
+            marts.apply_batch(spark, {**t, "transaction": t["transaction"].where(condition)}, path, batch)
+    for name in ("card", "category"):
+        assert rows(marts.read(spark, own, name)) == rows(marts.read(spark, joined, name)), name
