@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cardloom import session
 from cardloom.operators import datamarts
 from cardloom.plans import marts
 from cardloom.suite import landing
@@ -45,3 +46,14 @@ def test_batches_with_own_label(spark, tiny, tmp_path, rows):
             marts.apply_batch(spark, {**t, "transaction": t["transaction"].where(condition)}, path, batch)
     for name in ("card", "category"):
         assert rows(marts.read(spark, own, name)) == rows(marts.read(spark, joined, name)), name
+
+
+def test_a_task_reads_a_bounded_share(spark):
+    before = spark.conf.get(session.READ)
+    try:
+        for asked, kept in (("128m", session.READ_BYTES), ("1m", "1m")):
+            spark.conf.set(session.READ, asked)
+            session.size_shuffles(spark, SMALL)
+            assert spark.conf.get(session.READ) == str(kept)
+    finally:
+        spark.conf.set(session.READ, before)
