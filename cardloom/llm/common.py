@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from cardloom.session import scratch_path
+from cardloom.session import scratch_path, shipped
 
 #: Rows that stand as Python objects at once inside a task.
 CHUNK = 128
@@ -40,23 +36,6 @@ def numbered(frame: DataFrame, name: str, column: str = "rid") -> DataFrame:
     return written(frame.withColumn(column, F.monotonically_increasing_id()), name)
 
 
-def shipped(spark: SparkSession) -> None:
-    """Sends the package to the executors, once a session, unless their Python finds it by PYTHONPATH."""
-    package = Path(__file__).resolve().parents[1]
-    context = spark.sparkContext
-    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _shipped_to:
-        return
-    _shipped_to.add(context.applicationId)
-    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
-
-
-_shipped_to: set[str] = set()
-
-
 def python_ready(spark: SparkSession) -> None:
     """Readies a session for Python in tasks: Arrow batches of bounded size, and this package on the executors."""
     shipped(spark)
