@@ -53,3 +53,23 @@ def test_counts_by_hand():
                 wanted[i, j, row[chosen[i, j]], row[features]] += k
     got = forest._counts(x, features, times, feature, edge, opened, chosen, level, bins)
     assert (got.reshape(wanted.shape) == wanted).all()
+
+
+def test_a_fold_grows_one_forest(training, calls, monkeypatch):
+    grown = []
+    before = forest.Forest.grown
+    monkeypatch.setattr(forest.Forest, "grown", lambda self, rows: grown.append(1) or before(self, rows))
+    assert len(model.cross_validate(training, trees=[1, 3], depths=[2, 4], folds=2)) == 4
+    assert len(grown) == len(calls) == 2
+
+
+def test_scores_of_cuts_are_those_of_models(spark):
+    """Votes of a forest, and of its cuts, are the ``rawPrediction`` of models fitted apart, to the last bit."""
+    h = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)).cast("double") for i in range(7)]
+    rows = spark.range(0, 3000, 1, 3).select(array_to_vector(F.array(*h)).alias("features"), ((h[0] > 700) & (h[2] > 300)).cast("int").alias("label"))
+    ready = model.balanced(rows, model.class_counts(rows))
+    cuts = [(2, 3), (4, 3), (4, 6)]
+    got = model.forest(4, 6).grown(ready).scores(ready, cuts).collect()
+    for i, cut in enumerate(cuts):
+        wanted = model.forest(*cut).fit(ready).transform(ready).select("label", "rawPrediction").collect()
+        assert [(r.label, r.votes[i]) for r in got] == [(r.label, r.rawPrediction.toArray().tolist()) for r in wanted]
